@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         begin = 0
         while begin < batch.num_rows:
             before = size[begin - 1] if begin else 0
@@ -51,7 +52,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in a row, and the offsets of its rows (one more than rows); null is empty."""
-    column = pa.compute.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+    column = pc.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -107,7 +108,12 @@ class Words:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * _power(n, _BASE, "up"), out=total[1:])
         back = _power(n + 1, _INVERSE, "down")
-        self.key = mix((total[self.end] - total[self.begin]) * back[self.begin] + (self.end - self.begin).astype(np.uint64))
+        self._total, self._back = total, back
+        self.key = self.key_to(self.end)
+
+    def key_to(self, end: np.ndarray) -> np.ndarray:
+        """Hash of each word's bytes up to ``end``."""
+        return mix((self._total[end] - self._total[self.begin]) * self._back[self.begin] + (end - self.begin).astype(np.uint64))
 
     def word(self, k: int) -> bytes:
         return self.raw[self.begin[k] : self.end[k]].tobytes()

@@ -1,3 +1,80 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Hit words of ``{documents}`` by windows of ``benchmark``; ends with relation hits(rid, item_id, i, n).
+WINDOWS = f"""
+d AS (SELECT row_number() OVER () AS rid, *, {_WORDS.format("text")} AS words FROM {{documents}}),
+b AS (SELECT item_id, {_WORDS.format("text")} AS words FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n,
+         unnest(list_transform(range(1, greatest(len(words) - 9, 1) + 1), lambda i: array_to_string(words[i:i + least(len(words), 10) - 1], ' '))) AS win
+  FROM b WHERE len(words) > 0),
+p AS (SELECT rid, words, unnest(range(1, len(words) + 1)) AS i FROM d),
+w AS (SELECT rid, i, n, array_to_string(words[i:i + n - 1], ' ') AS win FROM p, (SELECT DISTINCT n FROM g) WHERE i + n - 1 <= len(words)),
+hits AS (SELECT rid, item_id, i, w.n FROM w JOIN g ON w.n = g.n AND w.win = g.win)"""
+
+OP7 = f"""
+WITH {WINDOWS.format(documents="documents")},
+placed AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM hits) GROUP BY rid),
+named AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY rid),
+runs AS (
+  -- the longest verbatim match: windows of an item that follow one another in both texts
+  SELECT rid, max(len) AS longest FROM (
+    SELECT rid, max(i + n) - min(i) AS len FROM (
+      SELECT h.rid, h.item_id, h.i, h.n, q.j, h.i - q.j AS diagonal,
+             q.j - row_number() OVER (PARTITION BY h.rid, h.item_id, h.i - q.j ORDER BY q.j) AS island
+      FROM hits h JOIN d ON d.rid = h.rid
+      JOIN (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS j FROM b WHERE len(words) > 0) q
+        ON q.item_id = h.item_id AND q.words[q.j:q.j + h.n - 1] = d.words[h.i:h.i + h.n - 1])
+    GROUP BY rid, item_id, diagonal, island) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest
+FROM d LEFT JOIN placed USING (rid) LEFT JOIN named USING (rid) LEFT JOIN runs USING (rid)"""
+
+OP5 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d WHERE text IS NOT NULL),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
+c AS (SELECT *, (coalesce(lag(h) OVER (PARTITION BY rid ORDER BY i), 0) * 31 + h) % 3 = 0 AS cut FROM h),
+k AS (SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM c),
+body AS (SELECT rid, doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM k GROUP BY rid, doc_id, chunk),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY body) AS copies, rank() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, chunk) AS place FROM body WHERE n > 1),
+gone AS (SELECT rid, chunk FROM ranked WHERE copies > 1 AND place > 1),
+kept AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM k ANTI JOIN gone USING (rid, chunk) GROUP BY rid)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(lines), 0) - coalesce(n, 0) AS BIGINT) AS n_removed
+FROM d LEFT JOIN kept USING (rid)"""
+
+#: Mixing of relation ``{documents}``; ends with relation mixed(rid, doc_id, size, source_size, target, taken).
+MIX = r"""
+z AS (SELECT row_number() OVER () AS rid, *, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM {documents}),
+u AS (
+  SELECT *, -ln((CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) + 1) / 4503599627370496.0)
+    / (1.0 + CASE WHEN length(text) / greatest(size, 1) BETWEEN 3 AND 12 THEN 0.75 ELSE 0 END + CASE WHEN length(text) >= 200 THEN 0.25 ELSE 0 END) AS rank_key
+  FROM z),
+s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM z GROUP BY source),
+v AS (SELECT *, [5.0, 2.0, 1.0][(k - 1) % 3 + 1] AS w, 1.5 * (SELECT sum(size) FROM z) AS total FROM s),
+lv AS (SELECT *, 2.0 * source_size / w AS level FROM v),
+st AS (
+  -- at the level of each source: what all sources would hold
+  SELECT a.level, (any_value(a.total) - sum(CASE WHEN b.level < a.level OR (b.level = a.level AND b.k < a.k) THEN 2.0 * b.source_size ELSE 0 END))
+     / sum(CASE WHEN b.level < a.level OR (b.level = a.level AND b.k < a.k) THEN 0 ELSE b.w END) AS water
+  FROM lv a, lv b GROUP BY a.level, a.k),
+tg AS (SELECT source, source_size, least(2.0 * source_size, w * coalesce((SELECT arg_min(water, level) FROM st WHERE water < level), 1e300)) AS target FROM lv),
+rest AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM tg),
+o AS (
+  SELECT u.*, source_size, target, epochs, target - epochs * source_size AS rest,
+         sum(size) OVER (PARTITION BY u.source ORDER BY rank_key, substr(md5(coalesce(text, '')), 1, 12), doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM u JOIN rest ON u.source IS NOT DISTINCT FROM rest.source),
+mixed AS (SELECT *, CAST(size * (epochs + CASE WHEN rest > 0 AND upto - size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM o)"""
+
+OP9 = f"""
+WITH {MIX.format(documents="documents")}
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, CAST(target AS DOUBLE) AS target,
+       CAST(epochs AS BIGINT) AS epochs, taken FROM mixed"""
+
+SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9}

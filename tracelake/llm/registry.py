@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +22,48 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, text, label of the labelled rows outside the held-out fifth; repeated labels of a row count once."""
+    own = labels.where(~held_out("doc_id", 5, 0)).groupBy("doc_id").agg(F.max(label).alias("label"))
+    return docs.select("doc_id", "text").join(own, "doc_id")
+
+
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_file
 
     return token_file.digest(token_file.token_file(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(_labelled(docs, labels, "toxic"))
+    scored = toxicity.predict(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_vote").alias("vote"), F.col("_evidence").alias("evidence"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_cnn
+
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    net = quality_cnn.fit(_labelled(docs, labels, "quality"))
+    return quality_cnn.predict(docs, net).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeats(docs).select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontamination
+
+    return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_counts
 
@@ -37,6 +76,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language_id
+
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~held_out("doc_id", 4, 2)).select("doc_id", "text", "lang"))
+    return language_id.predict(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
