@@ -43,6 +43,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_vote").alias("vote"), F.col("_evidence").alias("evidence"))
 
 
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import media
+
+    return media.media_column(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_cnn
 
@@ -58,6 +64,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeats(docs).select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import order_minhash
+
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "chosen")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontamination
 
