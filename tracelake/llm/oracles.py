@@ -70,11 +70,11 @@ o AS (
   SELECT u.*, source_size, target, epochs, target - epochs * source_size AS rest,
          sum(size) OVER (PARTITION BY u.source ORDER BY rank_key, substr(md5(coalesce(text, '')), 1, 12), doc_id ROWS UNBOUNDED PRECEDING) AS upto
   FROM u JOIN rest ON u.source IS NOT DISTINCT FROM rest.source),
-mixed AS (SELECT *, CAST(size * (epochs + CASE WHEN rest > 0 AND upto - size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM o)"""
+mixed AS (SELECT *, CAST(epochs + CASE WHEN rest > 0 AND upto - size / 2 <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies, CAST(size * copies AS BIGINT) AS taken FROM o)"""
 
 OP9 = f"""
 WITH {MIX.format(documents="documents")}
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, CAST(target AS DOUBLE) AS target,
-       CAST(epochs AS BIGINT) AS epochs, taken FROM mixed"""
+       CAST(epochs AS BIGINT) AS epochs, copies, taken FROM mixed"""
 
 SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9}
