@@ -124,12 +124,25 @@ def held_out(column: str | Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string") if isinstance(column, str) else column, F.lit("")).cast("binary")) % modulus == remainder
 
 
-def bounded_sample(df: DataFrame, label: str, each: int, seed: int, key: str = "doc_id") -> DataFrame:
-    """About ``each`` rows of every value of ``label``: a row stays if its hashed key is below the value's rate.
+#: Most classes that a classifier learns.
+CLASSES = 1000
 
-    One count for each value, no window and no sort, so that one value may hold
-    nearly all rows; the same rows again on each run.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, each: int, seed: int) -> tuple[DataFrame, dict]:
+    """(doc_id, text, label) of about ``each`` ids of every class, and the number of labelled ids of every class.
+
+    Ids are drawn from ``labels(doc_id, label)`` alone, by a hash that gives the same
+    ids on each run: no text is shuffled to draw them and one class may hold nearly all
+    rows. The ids drawn (``each`` for a class in expectation, ``CLASSES`` classes at
+    most) are broadcast to fetch their texts from ``docs``. Repeated labels of an id
+    count once (the greatest), so do repeated texts; null ids and labels are left out.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    return df.join(counts, label).where(u < each / F.col("_n")).drop("_n")
+    own = labels.select("doc_id", "label").where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+    counts = {r[0]: r[1] for r in own.groupBy("label").count().limit(CLASSES + 1).collect()}
+    if len(counts) > CLASSES:
+        raise ValueError(f"more than {CLASSES} classes")
+    rate = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))])[F.col("label")] if counts else F.lit(0.0)
+    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    chosen = own.where(u < rate)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label")), counts

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices
+from .common import labelled_sample, slices
 
 EACH, FEATURES, LETTERS, BLOCKS = 400, 6000, 94, 33
 BASE = 1 + LETTERS + BLOCKS
@@ -141,7 +141,8 @@ def _temperature(model: Model, rows: list) -> float:
 
 def fit(labelled: DataFrame, each: int = EACH, features: int = FEATURES) -> Model | None:
     """Learn from ``labelled(doc_id, text, lang)``; None if it has no labelled text."""
-    sample = bounded_sample(labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang"), "lang", each, 10).repartition(12).cache()
+    own = labelled.where("text is not null")
+    sample = labelled_sample(own, own.select("doc_id", F.col("lang").alias("label")), each, 10)[0].withColumnRenamed("label", "lang").repartition(12).cache()
     languages = sorted(r[0] for r in sample.select("lang").distinct().collect())
     if not languages:
         return None

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices, utf8
+from .common import labelled_sample, slices, utf8
 
 FILTERS, TAPS, STRIDE, CHUNK, HIDDEN = 16, 8, 2, 256, 16
 ECHO, REACH = 6, 512
@@ -172,9 +172,9 @@ def train(net: Net, docs: list[tuple[np.ndarray, int]], epochs: int = 10, batch:
                 q -= (rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
 
 
-def fit(labelled: DataFrame, each: int = EACH) -> Net:
-    """Learn from ``labelled(doc_id, text, label)`` with labels 0 and 1."""
-    sample = bounded_sample(labelled.where("label is not null").select("doc_id", "text", F.col("label").cast("int").alias("label")), "label", each, 4)
+def fit(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Net:
+    """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, label)`` with labels 0 and 1."""
+    sample, _ = labelled_sample(docs, labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label")), each, 4)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = CHUNK // 2

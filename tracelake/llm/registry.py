@@ -22,10 +22,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text, label of the labelled rows outside the held-out fifth; repeated labels of a row count once."""
-    own = labels.where(~held_out("doc_id", 5, 0)).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.select("doc_id", "text").join(own, "doc_id")
+def _learnt(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, label of the labelled rows outside the held-out fifth."""
+    return labels.where(~held_out("doc_id", 5, 0)).select("doc_id", F.col(label).alias("label"))
 
 
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +37,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
-    model = toxicity.fit(_labelled(docs, labels, "toxic"))
+    model = toxicity.fit(docs, _learnt(labels, "toxic"))
     scored = toxicity.predict(docs, model)
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_vote").alias("vote"), F.col("_evidence").alias("evidence"))
 
@@ -53,7 +52,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_cnn
 
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
-    net = quality_cnn.fit(_labelled(docs, labels, "quality"))
+    net = quality_cnn.fit(docs, _learnt(labels, "quality"))
     return quality_cnn.predict(docs, net).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -92,7 +91,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import language_id
 
     docs = _table(spark, sf_dir, "documents")
-    model = language_id.fit(docs.where(~held_out("doc_id", 4, 2)).select("doc_id", "text", "lang"))
+    model = language_id.fit(docs.where(~held_out("doc_id", 4, 2)))
     return language_id.predict(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_sample, slices
+from .common import Words, labelled_sample, slices
 
 EACH, TERMS, CHI, LEAST, K, BLOCK, STEP = 3000, 4096, 15.1, 4, 15, 64, 4
 PREFIXES = (4, 5)
@@ -155,16 +155,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a), float(b)
 
 
-def fit(labelled: DataFrame, each: int = EACH) -> Model:
-    """Learn from ``labelled(doc_id, text, label)`` with labels 0 and 1."""
-    spark = labelled.sparkSession
-    rows = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    shares = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Model:
+    """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, label)`` with labels 0 and 1."""
+    spark = docs.sparkSession
+    drawn, shares = labelled_sample(docs, labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label")), each, 2)
     empty = Model(Vocabulary(np.zeros(0, np.uint64), np.zeros(0)), Index(1, 0, *(np.zeros(0, np.int64),) * 3), np.zeros(0), [])
     if len(shares) < 2:
         empty.constant = float(bool(shares.get(1)))
         return empty
-    sample = bounded_sample(rows, "label", each, 2).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(3))).repartition(12).cache()
+    sample = drawn.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(3))).repartition(12).cache()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -243,3 +242,10 @@ def predict(docs: DataFrame, model: Model, evidence: int = 3, text: str = "text"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array(vote), pa.array(shown, kind)], [*batch.schema.names, "_score", "_vote", "_evidence"])
 
     return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", _score double, _vote double, _evidence array<struct<doc_id: {id_kind}, similarity: double, label: int>>")
+
+
+def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` scored below ``threshold``, with their columns as they are."""
+    plain = docs.withColumnsRenamed({c: f"{c}__own" for c in {"_score", "_vote", "_evidence"} & set(docs.columns)})
+    kept = predict(plain, model, evidence=0).where(F.col("_score") < threshold).drop("_score", "_vote", "_evidence")
+    return kept.toDF(*docs.columns)
