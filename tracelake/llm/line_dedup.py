@@ -5,11 +5,11 @@ is 0 modulo ``DIVISOR``, so boundaries move with the text. A chunk of two or mor
 lines whose bytes occur more than once in the corpus is removed everywhere but in
 its first place (lowest doc_id, then lowest chunk).
 
-First pass: 16-byte chunk keys alone are counted (pre-aggregated, so a chunk that
-a third of all documents hold is no hot group). Second pass: only chunks whose key
-repeats carry their bytes, are joined with the first place's chunk and compared
-byte by byte. Both joins are plain equi-joins, which Spark splits where a key is
-hot. The last join brings each document its removed chunk numbers.
+First pass: chunks are counted by a 16-byte key, map-side first, so that a chunk that
+a third of all documents hold is no hot group; of each key that repeats, the first
+place and its bytes are written. Second pass: keys without bytes find the other places
+(an equi-join, which Spark splits where a key is hot) and bring each document the bytes
+of the first place, with which it compares its own chunk byte by byte before removal.
 
 Defined results: null text stays null with 0 lines; the empty text is one empty
 line; a null id sorts behind all others; rows that share an id are one document: a
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 SPAN, DIVISOR, FACTOR = 2, 3, 31
 
 
@@ -73,34 +75,33 @@ def _chunk_rows(docs: DataFrame, with_bytes: bool) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, chunk of every chunk that is to go."""
+    """doc_id, chunk, original (bytes at the first place of the same key) of every chunk that stood before."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("chunk").alias("chunk"))
-    keys = _chunk_rows(docs, False).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").select("key", "first")
-    held = _chunk_rows(docs, True).join(keys, "key").select("key", "body", place.alias("place"), "first")
-    originals = held.where(F.col("place").eqNullSafe(F.col("first"))).groupBy("key").agg(F.min("body").alias("original"))
-    # bytes decide; a key that two texts share leaves the other text alone
-    same = held.where(~F.col("place").eqNullSafe(F.col("first"))).join(originals, "key").where(F.col("body") == F.col("original"))
-    return same.select("place.doc_id", "place.chunk")
+    keys = _chunk_rows(docs, True).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(place.alias("place"), F.col("body").alias("body"))).alias("first"))
+    keys = written(keys.where("n > 1").select("key", F.col("first.place").alias("first"), F.col("first.body").alias("original")), "repeated")
+    held = _chunk_rows(docs, False).select("key", place.alias("place")).join(keys, "key")
+    return held.where(~F.col("place").eqNullSafe(F.col("first"))).select("place.doc_id", "place.chunk", "original")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, and _n_lines, _n_removed (lines)."""
-    gone = repeated(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("chunk").alias("_gone"))
+    gone = repeated(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("chunk", "original")).alias("_gone"))
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, n_lines, n_removed = [], [], []
-            for text, gone in zip(batch.column("text"), batch.column("_gone").to_pylist(), strict=True):
-                text = text.as_py()
+            for text, gone in zip(batch.column("text"), batch.column("_gone"), strict=True):
+                text, gone = text.as_py(), gone.as_py()
                 if text is None:
                     body.append(None), n_lines.append(0), n_removed.append(0)
                     continue
                 if not gone:
                     body.append(text), n_lines.append(text.count("\n") + 1), n_removed.append(0)
                     continue
-                lines, gone = text.encode().split(b"\n"), set(gone)
-                left = [x for k, (a, b) in enumerate(chunks(lines)) if k not in gone for x in lines[a:b]]
+                lines, same = text.encode().split(b"\n"), {(g["chunk"], g["original"]) for g in gone}
+                # bytes decide; a key that two texts share leaves the other text alone
+                left = [x for k, (a, b) in enumerate(chunks(lines)) if (k, b"\n".join(lines[a:b])) not in same for x in lines[a:b]]
                 body.append(b"\n".join(left).decode()), n_lines.append(len(lines)), n_removed.append(len(lines) - len(left))
             columns = [pa.array(body, pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n != "_gone"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], [*(n for n in batch.schema.names if n != "_gone"), "_n_lines", "_n_removed"])
