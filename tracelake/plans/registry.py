@@ -1,15 +1,24 @@
-"""Registered queries of the trace engine."""
+"""Registered queries of the trace engine: each applies an operator to a whole table, with the SQL it must equal."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def entry(spark, sf_dir):
-    return queries()["asof_backward"](spark, sf_dir)
+from pyspark.sql import DataFrame, SparkSession
+
+from . import merge_queries, relation_queries, scalar_queries, stored_queries, temporal_queries
+
+_MODULES = (temporal_queries, merge_queries, relation_queries, scalar_queries, stored_queries)
 
 
-def queries():
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: f for m in _MODULES for k, f in m.QUERIES.queries.items()}
 
 
-def oracle_sql():
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {k: s for m in _MODULES for k, s in m.QUERIES.sql.items()}
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each purchase the last view's value before it: the flagship as-of lookup."""
+    return queries()["asof_backward"](spark, sf_dir)
