@@ -31,6 +31,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_apart(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with all columns but the ``used`` ones renamed, so that no name clashes with those an operator adds; ``toDF(*docs.columns)`` gives them back."""
+    return docs.toDF(*[c if c in used else f"own{i}" for i, c in enumerate(docs.columns)])
+
+
+def schema_of(docs: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null is empty."""
     return [x or "" for x in column.to_pylist()]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, slices
+from .common import Words, schema_of, set_apart, slices
 
 WINDOW, DEPTH = 10, 16
 BENCHMARK_BYTES = 32 << 20
@@ -202,7 +202,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", limit: in
                 n, spans, names, longest = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(spans, _SPAN), pa.array(names, pa.list_(pa.string())), pa.array(longest, pa.int64())], [*batch.schema.names, "_n_words", "_spans", "_items", "_longest"])
 
-        out = out.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + _FOUND)
+        out = out.mapInArrow(run, schema_of(docs) + ", " + _FOUND)
     return out
 
 
@@ -215,8 +215,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, with their columns as they are."""
-    taken = set(docs.columns)
-    clash = {"_n_words", "_spans", "_items", "_longest"} & taken
-    plain = docs.withColumnsRenamed({c: f"{c}__own" for c in clash})
-    kept = matches(plain, benchmark, text).where(F.size("_spans") == 0).drop("_n_words", "_spans", "_items", "_longest")
-    return kept.withColumnsRenamed({f"{c}__own": c for c in clash})
+    kept = matches(set_apart(docs, text), benchmark, text).where(F.size("_spans") == 0).drop("_n_words", "_spans", "_items", "_longest")
+    return kept.toDF(*docs.columns)

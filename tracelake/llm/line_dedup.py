@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import schema_of, set_apart, written
 
 SPAN, DIVISOR, FACTOR = 2, 3, 31
 
@@ -84,7 +84,8 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and _n_lines, _n_removed (lines)."""
+    """``docs`` with the repeated chunks taken out of ``text``, and _n_lines, _n_removed (lines; own columns of these names are replaced)."""
+    names, docs = docs.columns, set_apart(docs, "doc_id", "text")
     gone = repeated(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("chunk", "original")).alias("_gone"))
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
 
@@ -106,4 +107,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             columns = [pa.array(body, pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n != "_gone"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], [*(n for n in batch.schema.names if n != "_gone"), "_n_lines", "_n_removed"])
 
-    return joined.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_lines long, _n_removed long")
+    out = joined.mapInArrow(run, schema_of(docs) + ", _n_lines long, _n_removed long")
+    added = ["_n_lines", "_n_removed"]
+    return out.drop(*[f"own{i}" for i, c in enumerate(names) if c in added]).toDF(*[c for c in names if c not in added], *added)

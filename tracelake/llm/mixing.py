@@ -98,9 +98,9 @@ def mix(docs: DataFrame, total: float = 1.5, repeat: float = 2.0, weights: tuple
     at_edge = F.col("_b2").eqNullSafe(F.col("_e"))
     edge = placed.where(at_edge).withColumn("_upto", F.col("_base") + F.sum("size").over(Window.partitionBy("source").orderBy("_key", "_tie", "doc_id").rowsBetween(Window.unboundedPreceding, 0)))
     # the document on the line goes in if most of it lies below the line
-    edge = edge.withColumn("_in", F.col("_upto") - F.col("size") / 2 <= F.col("_rest")).drop("_upto")
+    edge = edge.withColumn("_in", (F.col("_rest") > 0) & (F.col("_upto") - F.col("size") / 2 <= F.col("_rest"))).drop("_upto")
     # no last bucket: the rest is the whole source or nothing
-    other = placed.where(~at_edge).withColumn("_in", F.when(F.col("_e").isNull(), F.col("_rest") > 0).otherwise(F.col("_b2") < F.col("_e")))
+    other = placed.where(~at_edge).withColumn("_in", (F.col("_rest") > 0) & (F.col("_e").isNull() | (F.col("_b2") < F.col("_e"))))
     copies = F.col("epochs") + F.col("_in").cast("long")
     return edge.unionByName(other).select("doc_id", *(["row"] if whole else []), "size", "source_size", "target", "epochs", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 

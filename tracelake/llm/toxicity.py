@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, labelled_sample, slices
+from .common import Words, labelled_sample, schema_of, set_apart, slices
 
 EACH, TERMS, CHI, LEAST, K, BLOCK, STEP = 3000, 4096, 15.1, 4, 15, 64, 4
 PREFIXES = (4, 5)
@@ -241,11 +241,10 @@ def predict(docs: DataFrame, model: Model, evidence: int = 3, text: str = "text"
             kind = pa.list_(pa.struct([("doc_id", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array(vote), pa.array(shown, kind)], [*batch.schema.names, "_score", "_vote", "_evidence"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", _score double, _vote double, _evidence array<struct<doc_id: {id_kind}, similarity: double, label: int>>")
+    return docs.mapInArrow(run, schema_of(docs) + f", _score double, _vote double, _evidence array<struct<doc_id: {id_kind}, similarity: double, label: int>>")
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` scored below ``threshold``, with their columns as they are."""
-    plain = docs.withColumnsRenamed({c: f"{c}__own" for c in {"_score", "_vote", "_evidence"} & set(docs.columns)})
-    kept = predict(plain, model, evidence=0).where(F.col("_score") < threshold).drop("_score", "_vote", "_evidence")
+    kept = predict(set_apart(docs, "text"), model, evidence=0).where(F.col("_score") < threshold).drop("_score", "_vote", "_evidence")
     return kept.toDF(*docs.columns)
