@@ -2,7 +2,8 @@
 
 Examples are a bounded sample of labelled rows (``EACH`` of each class in
 expectation, by a hash of the id). Terms are lower-cased words and their first 4
-and 5 bytes; terms whose presence depends on the label in the sample (chi-square
+and 5 bytes; that a term stands at least 2, 3 or 5 times in a text (``LEVELS``) is a term
+of its own. Terms whose presence depends on the label in the sample (chi-square
 above ``CHI``, at least ``LEAST`` rows, ``TERMS`` at most) make the vocabulary.
 Two thirds of the sample are indexed, the others calibrate.
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import Words, labelled_sample, schema_of, set_apart, slices
 
 EACH, TERMS, CHI, LEAST, K, BLOCK, STEP = 3000, 4096, 15.1, 4, 15, 64, 4
-PREFIXES = (4, 5)
+PREFIXES, LEVELS = (4, 5), (1, 2, 3, 5)
 
 
 def terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -50,25 +51,51 @@ def terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def counted(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, key) pairs and how often each stands."""
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    begin = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])[: len(row)])
+    return row[begin], key[begin], np.diff(np.append(begin, len(row)))
+
+
+def at_level(key: np.ndarray, level: int) -> np.ndarray:
+    """The key of the term "this term at least ``level`` times"."""
+    return key ^ np.uint64(0x2545F4914F6CDD1D * (level - 1) & (1 << 64) - 1)
+
+
 class Vocabulary:
-    """Sorted 64-bit term keys with their idf."""
+    """Sorted 64-bit keys of terms (a plain term and a level) with their idf."""
 
-    def __init__(self, keys: np.ndarray, idf: np.ndarray):
+    def __init__(self, plain: np.ndarray, levels: np.ndarray, idf: np.ndarray):
+        keys = plain.copy()
+        for level in LEVELS:
+            keys[levels == level] = at_level(plain[levels == level], level)
         order = np.argsort(keys)
         self.keys, self.idf = keys[order], idf[order].astype(np.float64)
+        self.plain = np.unique(plain)
         self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self.keys >> np.uint64(44)] = True
+        self.maybe[self.plain >> np.uint64(44)] = True
 
     def vectors(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, weight) of the rows' unit TF-IDF vectors, by row and term."""
         row, key = terms(Words(column))
         likely = np.flatnonzero(self.maybe[key >> np.uint64(44)])
         row, key = row[likely], key[likely]
-        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-        known = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
-        both, n = np.unique(row[known] * max(len(self.keys), 1) + at[known], return_counts=True)
-        row, term = both // max(len(self.keys), 1), both % max(len(self.keys), 1)
-        x = (1 + np.log(n)) * self.idf[term] if len(term) else np.zeros(0)
+        if not len(self.keys) or not len(key):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        own = self.plain[np.minimum(np.searchsorted(self.plain, key), len(self.plain) - 1)] == key
+        row, key, n = counted(row[own], key[own])
+        found = []
+        for level in LEVELS:
+            enough = np.flatnonzero(n >= level)
+            wanted = at_level(key[enough], level)
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            known = self.keys[at] == wanted
+            found.append((row[enough][known], at[known], (1 + np.log(n[enough][known]) if level == 1 else np.ones(known.sum())) * self.idf[at[known]]))
+        row, term, x = (np.concatenate(v) for v in zip(*found, strict=True))
+        order = np.lexsort((term, row))
+        row, term, x = row[order], term[order], x[order]
         norm = np.sqrt(np.bincount(row, x * x, minlength=len(column)))
         return row, term, x / np.maximum(norm[row], 1e-12)
 
@@ -159,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Model:
     """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, label)`` with labels 0 and 1."""
     spark = docs.sparkSession
     drawn, shares = labelled_sample(docs, labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label")), each, 2)
-    empty = Model(Vocabulary(np.zeros(0, np.uint64), np.zeros(0)), Index(1, 0, *(np.zeros(0, np.int64),) * 3), np.zeros(0), [])
+    empty = Model(Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)), Index(1, 0, *(np.zeros(0, np.int64),) * 3), np.zeros(0), [])
     if len(shares) < 2:
         empty.constant = float(bool(shares.get(1)))
         return empty
@@ -167,28 +194,25 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            row, key = terms(Words(batch.column("text")))
+            row, key, times = counted(*terms(Words(batch.column("text"))))
             label = batch.column("label").to_numpy()
-            order = np.lexsort((key, row))
-            row, key = row[order], key[order]
-            once = np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])[: len(row)]
-            row, key = row[once], key[once]
-            keys, at = np.unique(key, return_inverse=True)
-            n1 = np.bincount(at, label[row], minlength=len(keys))
-            n = np.bincount(at, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(n1.astype(np.int64))], ["key", "n", "n1"])
+            for level in LEVELS:
+                some = times >= level
+                keys, at = np.unique(key[some], return_inverse=True)
+                n, n1 = np.bincount(at, minlength=len(keys)), np.bincount(at, label[row[some]], minlength=len(keys))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array([level] * len(keys), pa.int32()), pa.array(n, pa.int64()), pa.array(n1.astype(np.int64))], ["key", "level", "n", "n1"])
 
     total = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     t1, t0 = float(total.get(1, 0)), float(total.get(0, 0))
     if not t1 or not t0:
         empty.constant = shares[1] / sum(shares.values())
         return empty
-    found = sample.select("text", "label").mapInArrow(count, "key long, n long, n1 long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1")).where(F.col("n") >= LEAST)
+    found = sample.select("text", "label").mapInArrow(count, "key long, level int, n long, n1 long").groupBy("key", "level").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1")).where(F.col("n") >= LEAST)
     a, b = F.col("n1"), F.col("n") - F.col("n1")
     c, d = F.lit(t1) - a, F.lit(t0) - b
     chi = (a * d - b * c) * (a * d - b * c) * F.lit(t1 + t0) / (F.lit(t1) * F.lit(t0) * F.col("n") * F.greatest(F.lit(t1 + t0) - F.col("n"), F.lit(1.0)))
-    top = found.withColumn("chi", chi).where(F.col("chi") > CHI).orderBy(F.desc("chi"), "key").limit(TERMS).collect()
-    vocabulary = Vocabulary(np.array([r.key for r in top], np.int64).view(np.uint64), np.log((1 + t1 + t0) / (1 + np.array([r.n for r in top], np.float64))) + 1)
+    top = found.withColumn("chi", chi).where(F.col("chi") > CHI).orderBy(F.desc("chi"), "key", "level").limit(TERMS).collect()
+    vocabulary = Vocabulary(np.array([r.key for r in top], np.int64).view(np.uint64), np.array([r.level for r in top], np.int64), np.log((1 + t1 + t0) / (1 + np.array([r.n for r in top], np.float64))) + 1)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
