@@ -80,8 +80,8 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(n: int, base: np.uint64, name: str) -> np.ndarray:
-    if len(_powers.get(name, ())) < n:
-        size = -(-n // _STEP) * _STEP
+    if name not in _powers or len(_powers[name]) < n:
+        size = max(1, -(-n // _STEP)) * _STEP
         _powers[name] = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]))
     return _powers[name][:n]
 
