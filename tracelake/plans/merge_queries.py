@@ -8,12 +8,12 @@ from ..operators import merges, sets
 from .query import Family
 
 QUERIES = Family()
-#: A third of the orders have no time.
-_TIME = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate"))
 
 
 def _rows(read):
-    orders = read("orders").select(F.col("o_orderkey").alias("session"), _TIME.alias("at"), "o_orderstatus", "o_custkey")
+    """A third of the orders have no time."""
+    time = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate"))
+    orders = read("orders").select(F.col("o_orderkey").alias("session"), time.alias("at"), "o_orderstatus", "o_custkey")
     items = read("lineitem").select(F.col("l_suppkey").alias("entity"), F.col("l_orderkey").alias("session"), F.concat("l_returnflag", "l_linestatus").alias("value"), F.col("l_linenumber").alias("seq"), "l_partkey", "l_quantity", "l_shipdate", "l_discount", "l_extendedprice")
     return items.join(orders, "session")
 

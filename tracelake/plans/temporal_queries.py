@@ -9,12 +9,11 @@ from .query import Family
 
 QUERIES = Family()
 #: A small value stands for a stored nil.
-_NIL = F.when(F.col("value") >= 5, F.col("value"))
 _SQL_NIL = "CASE WHEN value >= 5 THEN value END"
 
 
 def _views(read):
-    return read("events").where("event_type = 'view'").select("user_id", "ts", "event_id", _NIL.alias("v"))
+    return read("events").where("event_type = 'view'").select("user_id", "ts", "event_id", F.expr("case when value >= 5 then value end").alias("v"))
 
 
 def _purchases(read):
