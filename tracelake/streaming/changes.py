@@ -19,6 +19,7 @@ def changes(stream: DataFrame, by: str, order: Sequence[str], value: str) -> Dat
     an earlier one.
     """
     kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    whole = kinds[value] in ("tinyint", "smallint", "int", "bigint")
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values(list(order), kind="stable")
@@ -29,7 +30,9 @@ def changes(stream: DataFrame, by: str, order: Sequence[str], value: str) -> Dat
         differs = ~((now == last) | (now.isna() & last.isna()))
         if not known:
             differs.iloc[0] = True
-        state.update((True, now.iloc[-1]))
+        end = now.iloc[-1]
+        # pandas holds a nullable whole number as a float, which the state's type does not take
+        state.update((True, end if end is None else int(end) if whole else getattr(end, "item", lambda: end)()))
         yield rows[differs.to_numpy()]
 
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
