@@ -93,3 +93,49 @@ def test_every_registered_field_runs(session):
     _, s = session
     for (entity, _), observe in o.FIELDS.items():
         assert {"sid", "entity", "value", "t", "confidence"} <= set(observe(s).columns), entity
+
+
+def test_texts_headers_and_map_places(spark):
+    rows = [
+        *stream("GetQuestLogQuestText", (1, 1, '["x", "\\n Kill \\n\\n wolves \\n"]'), params=["33"]),
+        *stream("QuestHeader", (1, 1, " elwynn forest"), params=["33"]),
+        *stream("QuestHeader", (1, 1, "Mage"), params=["34"]),
+        *stream("GetQuestsOnMap", (1, 1, '[{"questID": 33, "x": 0.1, "y": 0.2}]'), (5, 5, '[{"questID": 33, "x": 0.1, "y": 0.2}]'), (6, 6, '[{"questID": 33, "x": 0.5, "y": 0.2}]'), (7, 7, '[{"questID": 33, "x": 0.5, "y": 0.2}]'), params=["12"]),
+        *stream("IsQuestComplete", (0, 0, "false"), (4, 4, "true"), params=["33"]),
+        *stream("UnitFactionGroup", (4, 4, "Horde"), params=["player"]),
+        *stream("GetFactionDataByID", (0, 0, '{"currentStanding": 100}'), (10.2, 10.2, '{"currentStanding": 350}'), params=["72"]),
+        *stream("GetLootSourceInfo", (2, 2, json.dumps([THING.format(7), 2, UNIT.format(1), 1])), (3, 3, json.dumps([THING.format(8), 2])), params=["1"]),
+    ]
+    s = spark.createDataFrame(rows, "sid string, fn string, params array<string>, pos int, t double, tp double, v string")
+    e = spark.createDataFrame([("s", 0, 2.0, 2.0, "LOOT_READY", None), ("s", 1, 10.0, 10.0, "QUEST_TURNED_IN", '{"n": 1, "1": 33}'), ("s", 2, 20.0, 20.0, "QUEST_TURNED_IN", '{"n": 1, "1": 34}'), ("s", 3, 20.5, 20.5, "QUEST_TURNED_IN", '{"n": 1, "1": 35}')], "sid string, pos int, t double, tp double, e string, args string")
+    assert [(r.entity, r.value, r.locale) for r in o.objective_texts(s).collect()] == [(33, ["Kill", "", "wolves"], "enUS")]
+    dim = lambda *rows_: spark.createDataFrame(rows_, "name string, id long")
+    assert pairs(o.zone_or_sort(s, dim(("Elwynn Forest", 12), ("Elwynn Forest", 14)), dim(("Mage", 161), ("Elwynn Forest", 1)))) == [(33, 12), (34, -161)]
+    assert pairs(o.turn_in_places(s)) == [(33, (12, 50.0, 20.0))]
+    assert [r.id for r in o.object_loots(e, s).collect()] == [7]
+    seen = spark.createDataFrame([("s", 33, 1.0), ("s", 33, 9.0)], "sid string, quest long, t double")
+    assert pairs(o.quest_sides(seen, s)) == [(33, "H")]
+    assert [(r.quest, r.faction, r.gain) for r in o.standing_gains(e, s).collect()] == [(33, 72, 250.0)]
+
+
+def test_privacy_and_emission(spark):
+    from pyspark.sql import functions as F
+
+    from tracelake.operators import emit, privacy
+
+    rows = spark.createDataFrame([(1, [UNIT.format(1), THING.format(2)]), (2, [UNIT.format(1), "Player-5208-01"]), (3, ["?"])], "k int, guids array<string>")
+    assert [r.k for r in privacy.with_allowed_sources(rows, "guids").collect()] == [1]
+    texts = spark.createDataFrame([("You gain 5 of Ann.",), ("You gain x of Ann.",), ("hello You gain 5 of Ann.",)], "m string")
+    assert [r.ok for r in texts.select(privacy.message_allowed(F.col("m"), ["You gain %d of %s.", "Bye"]).alias("ok")).collect()] == [True, False, False]
+    chat = spark.createDataFrame([("Ann said hi", "Ann", "Ann", "Player-1-2"), ("x", "y", "z", UNIT.format(3))], "m string, a string, b string, g string")
+    assert [tuple(r) for r in privacy.chat(chat, "m", "a", "b", "g", ["Ann"]).orderBy("m").collect()] == [("<name> said hi", None, None, None), ("x", None, None, UNIT.format(3))]
+    s = spark.createDataFrame([*stream("UnitGUID", (1, 1, "Player-1-2"), (2, 2, UNIT.format(5)), params=["target"]), *stream("UnitName", (1, 1, "Ann"), (2, 2, "Wolf"), params=["target"])], "sid string, fn string, params array<string>, pos int, t double, tp double, v string")
+    own = spark.createDataFrame([("s", "Player-1-2")], "sid string, guid string")
+    assert sorted(r.v for r in privacy.without_self(s, own).collect()) == [UNIT.format(5), "Wolf"]
+    records = spark.createDataFrame([(2, 'a "b"\n', [1, 2], 1.0), (1, None, [], float("nan"))], "id int, name string, ids array<int>, x double")
+    assert [r.line for r in emit.lines(records, "id", ["name", "ids", "x"]).orderBy("id").collect()] == ["[1] = {ids=nil,x=nil}", '[2] = {name="a \\"b\\"\\n",ids={1,2},x=1}']
+    limits = spark.createDataFrame([("npc", 100)], "kind string, max_id long")
+    facts = spark.createDataFrame([("npc", 99), ("npc", 101), ("quest", 1)], "kind string, entity long")
+    assert sorted((r.kind, r.entity) for r in emit.above(facts, "entity", "kind", limits).collect()) == [("npc", 101), ("quest", 1)]
+    rel = spark.createDataFrame([(1, [5, 200]), (2, [6])], "quest long, givers array<long>")
+    assert [(r.quest, r.givers) for r in emit.new_relations(rel, "quest", "givers", F.col("member") <= 100).collect()] == [(1, [200])]

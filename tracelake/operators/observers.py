@@ -206,3 +206,60 @@ FIELDS = {
     ("object", "name"): lambda s: names(s, "object"), ("object", "spawns"): lambda s: places(s, "object"), ("item", "name"): item_names, ("item", "npcDrops"): drops, ("item", "objectDrops"): lambda s: drops(s, "object"),
     ("quest", "name"): quest_names, ("quest", "level"): quest_levels, ("quest", "objectiveCount"): objective_counts, ("quest", "xp"): quest_xp, ("quest", "triggerEnd"): trigger_places,
 }
+
+
+def objective_texts(samples: DataFrame) -> DataFrame:
+    """Lines of a quest's objective text (second entry of its tuple), with the locale; no locale means enUS."""
+    rows = at(by_param(samples, "GetQuestLogQuestText", "quest"), stream(samples, "GetLocale"), "locale")
+    lines = text.lines_of(F.get_json_object("v", "$[1]"))
+    return _observation(rows.withColumn("_lines", lines).where("size(_lines) > 0"), number(F.col("quest")), F.col("_lines"), "high", F.coalesce("locale", F.lit("enUS")).alias("locale"))
+
+
+def zone_or_sort(samples: DataFrame, areas: DataFrame, sorts: DataFrame) -> DataFrame:
+    """A quest's header as an area id, or as a negative sort id if no area has that name (``areas``, ``sorts``: name, id)."""
+    own = areas.select(text.normalized(F.col("name")).alias("_name"), F.lit(0).alias("_p"), F.col("id")).unionByName(sorts.select(text.normalized(F.col("name")).alias("_name"), F.lit(1).alias("_p"), (-F.col("id")).alias("id")))
+    signed = own.groupBy("_name").agg(F.min_by("id", F.struct(F.col("_p"), F.abs("id"))).alias("signed"))
+    rows = by_param(samples, "QuestHeader", "quest").withColumn("_name", text.normalized(F.col("v")))
+    return _observation(rows.join(signed, "_name"), number(F.col("quest")), F.col("signed"), "medium")
+
+
+def turn_in_places(samples: DataFrame) -> DataFrame:
+    """Where the map shows a complete quest, if that differs from where it was last shown incomplete; each place once."""
+    pois = by_param(samples, "GetQuestsOnMap", "map").select("sid", F.col("map"), "t", "pos", F.posexplode(F.from_json("v", "array<struct<questID: long, x: double, y: double>>")).alias("k", "_p"))
+    rows = pois.select("sid", F.col("_p.questID").cast("string").alias("quest"), F.col("map"), "t", "pos", text.percent(F.col("_p.x")).alias("x"), text.percent(F.col("_p.y")).alias("y"))
+    rows = at(rows, by_param(samples, "IsQuestComplete", "quest"), "complete", ("sid", "quest"))
+    done = F.coalesce(F.col("complete") == "true", F.lit(False))
+    spot = F.struct("x", "y")
+    rows = temporal.carried(rows, ["sid", "quest", "map"], "t", F.when(~done, spot), "_open", ["pos"], inclusive=False).where(done & ~F.col("_open").eqNullSafe(spot))
+    rows = first_of(rows.withColumn("zone", number(F.col("map")).cast("long")), ["quest", "zone", "x", "y"])
+    return _observation(rows, number(F.col("quest")), F.struct("zone", "x", "y"))
+
+
+def object_loots(events: DataFrame, samples: DataFrame) -> DataFrame:
+    """sid, t, id, guid of every object that was looted: sources sampled when a loot opened, each object once a time."""
+    sources = by_param(samples, "GetLootSourceInfo", "slot").join(events.where("e = 'LOOT_READY'").select("sid", "t").distinct(), ["sid", "t"], "left_semi")
+    units = sources.select("sid", "t", F.posexplode(F.from_json("v", "array<string>")).alias("k", "guid")).where("k % 2 = 0").withColumn("_g", text.parse_guid(F.col("guid")))
+    return units.where("_g.kind = 'object'").select("sid", "t", F.col("_g.id").alias("id"), "guid").distinct()
+
+
+def quest_sides(sightings: DataFrame, samples: DataFrame) -> DataFrame:
+    """Sides that saw a quest (``sightings(sid, quest, t)``): the faction then, or the first known one before it was known; each once."""
+    factions = stream(samples, "UnitFactionGroup", "player").withColumn("v", text.side_of(F.col("v")))
+    first = factions.where("v is not null").groupBy("sid").agg(F.min_by("v", F.struct("t", "pos")).alias("_first"))
+    rows = at(sightings, factions, "side").join(first, "sid", "left").withColumn("side", F.coalesce("side", "_first")).where("side is not null")
+    return _observation(first_of(rows, ["quest", "side"]), F.col("quest"), F.col("side"))
+
+
+def standing_gains(events: DataFrame, samples: DataFrame, seconds: float = 0.5, apart: float = 1.0) -> DataFrame:
+    """Gains of each faction at a turn-in that stands alone: standing at ``seconds`` after it less the one before ``seconds`` ahead of it."""
+    arg = lambda k: F.get_json_object("args", f"$['{k}']").try_cast("double")
+    turned = events.where("e = 'QUEST_TURNED_IN'").select("sid", "pos", "t", arg(1).cast("long").alias("quest"))
+    w = Window.partitionBy("sid").orderBy("t", "pos")
+    alone = F.coalesce(F.least(F.col("t") - F.lag("t").over(w), F.lead("t").over(w) - F.col("t")), F.lit(apart)) >= apart
+    turned = turned.withColumn("_alone", alone).where("_alone").drop("_alone")
+    standing = by_param(samples, "GetFactionDataByID", "faction").withColumn("v", F.get_json_object("v", "$.currentStanding"))
+    asked = turned.join(standing.select("sid", "faction").distinct(), "sid")
+    before = at(asked.withColumn("t", F.col("t") - seconds), standing, "low", ("sid", "faction"), strict=True).withColumn("t", F.col("t") + seconds)
+    after = at(before.withColumn("t", F.col("t") + seconds), standing, "high", ("sid", "faction")).withColumn("t", F.col("t") - seconds)
+    gain = number(F.col("high")) - number(F.col("low"))
+    return after.withColumn("gain", gain).where("gain <> 0").select("sid", "t", "quest", number(F.col("faction")).cast("long").alias("faction"), "gain")

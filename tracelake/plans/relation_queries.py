@@ -120,7 +120,7 @@ def recursive_roots(read):
     return relations.roots(forest, "node", "parent")
 
 
-@QUERIES("""SELECT count(*) AS events, count(DISTINCT user_id) AS sessions, count(*) FILTER (WHERE event_type = 'signup') AS accepted, count(*) FILTER (WHERE event_type = 'purchase') AS turned_in, sum(seconds) AS seconds
+@QUERIES("""SELECT count(*) AS events, count(DISTINCT user_id) AS sessions, count(*) FILTER (WHERE event_type = 'signup') AS accepted, count(*) FILTER (WHERE event_type = 'purchase') AS turned_in, CAST(sum(seconds) AS BIGINT) AS seconds
 FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 THEN (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) // 1000000 END AS seconds FROM events)""")
 def export_stats(read):
     each = read("events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "signup").alias("a"), F.count_if(F.col("event_type") == "purchase").alias("p"), ((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1_000_000).cast("long").alias("s"))
