@@ -16,6 +16,13 @@ GUID_KINDS = {"Creature": "npc", "Pet": "npc", "Vehicle": "npc", "GameObject": "
 RANKS = {"normal": 0, "trivial": 0, "minus": 0, "elite": 1, "rareelite": 2, "worldboss": 3, "rare": 4}
 
 
+#: Patterns of recorded texts.
+PROGRESS_HEAD, PROGRESS_TAIL, SLAIN = r"^\s*\d+\s*/\s*\d+\s*", r"\s*:\s*\d+\s*/\s*\d+\s*$", r"(?i)\s+slain$"
+LEVEL_LINE = r"^\S+ (\d+|\?\?)( ?[(（][^)）]*[)）])?$"
+ITEM_LINK = r"\|Hitem:(\d+):[^|]*\|h\[([^\]]*)\]\|h"
+STANDING = r"^Reputation with (.+) (increased|decreased) by (\d+)\.$"
+
+
 def lookup(values: Mapping[str, object], column: Column) -> Column:
     """The entry of a small fixed map, null where there is none."""
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[column]
@@ -40,13 +47,13 @@ def without_last_word(text: Column, ending: str = r"\w+") -> Column:
 
 def objective_name(text: Column, monster: Column) -> Column:
     """Without its progress (``0/8`` in front, ``: 0/1`` behind) and, for a monster, a last ``slain``; null if nothing is left."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"^\s*\d+\s*/\s*\d+\s*", ""), r"\s*:\s*\d+\s*/\s*\d+\s*$", "")
-    return F.nullif(trimmed(F.when(monster, F.regexp_replace(bare, r"(?i)\s+slain$", "")).otherwise(bare)), F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace(text, PROGRESS_HEAD, ""), PROGRESS_TAIL, "")
+    return F.nullif(trimmed(F.when(monster, F.regexp_replace(bare, SLAIN, "")).otherwise(bare)), F.lit(""))
 
 
 def is_level_line(text: Column) -> Column:
     """One word, a level or ``??``, and perhaps a rank in brackets (ASCII or full-width)."""
-    return text.rlike(r"^\S+ (\d+|\?\?)( ?[(（][^)）]*[)）])?$")
+    return text.rlike(LEVEL_LINE)
 
 
 def parse_guid(guid: Column) -> Column:
@@ -59,15 +66,14 @@ def parse_guid(guid: Column) -> Column:
 
 def parse_link(link: Column) -> Column:
     """struct(id, name) of the first item link in a text, null if there is none."""
-    pattern = r"\|Hitem:(\d+):[^|]*\|h\[([^\]]*)\]\|h"
-    return F.when(link.rlike(pattern), F.struct(F.regexp_extract(link, pattern, 1).try_cast("long").alias("id"), F.regexp_extract(link, pattern, 2).alias("name")))
+    return F.when(link.rlike(ITEM_LINK), F.struct(F.regexp_extract(link, ITEM_LINK, 1).try_cast("long").alias("id"), F.regexp_extract(link, ITEM_LINK, 2).alias("name")))
 
 
 def parse_standing(message: Column) -> Column:
     """struct(faction, amount) of a chat message about a standing, null for others."""
-    pattern = r"^Reputation with (.+) (increased|decreased) by (\d+)\.$"
-    amount = F.regexp_extract(message, pattern, 3).try_cast("long")
-    return F.when(message.rlike(pattern), F.struct(F.regexp_extract(message, pattern, 1).alias("faction"), F.when(F.regexp_extract(message, pattern, 2) == "increased", amount).otherwise(-amount).alias("amount")))
+    amount = F.regexp_extract(message, STANDING, 3).try_cast("long")
+    signed = F.when(F.regexp_extract(message, STANDING, 2) == "increased", amount).otherwise(-amount)
+    return F.when(message.rlike(STANDING), F.struct(F.regexp_extract(message, STANDING, 1).alias("faction"), signed.alias("amount")))
 
 
 def lines_of(text: Column) -> Column:
@@ -90,7 +96,7 @@ def percent(x: Column) -> Column:
 
 
 def tiered(xp: Column) -> Column:
-    """Fixed tiers: to 5 up to 100, to 10 up to 500, to 25 up to 1000, to 50 above."""
+    """To 5 up to 100, to 10 up to 500, to 25 up to 1000, to 50 above."""
     step = lambda size, shift: F.lit(size) * F.floor((xp + shift) / size)
     return F.when(xp <= 100, step(5, 2)).when(xp <= 500, step(10, 5)).when(xp <= 1000, step(25, 12)).otherwise(step(50, 25))
 
@@ -121,7 +127,7 @@ def side_of(faction: Column) -> Column:
     return lookup({"Alliance": "A", "Horde": "H"}, faction)
 
 
-#: Categories of event names: (category, prefixes, whole names), the first that fits counts.
+#: Categories of event names, (category, prefixes, whole names), the first that fits counts.
 CATEGORIES = (
     ("quest", ("QUEST_",), ("UNIT_QUEST_LOG_CHANGED", "QUESTLINE_UPDATE", "GOSSIP_SHOW", "GOSSIP_CLOSED")),
     ("loot", ("LOOT_",), ("CHAT_MSG_LOOT", "CHAT_MSG_MONEY")),
