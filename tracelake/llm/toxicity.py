@@ -36,6 +36,8 @@ from .common import Words, labelled_sample, schema_of, set_apart, slices
 
 EACH, TERMS, CHI, LEAST, K, BLOCK, STEP = 3000, 4096, 15.1, 4, 15, 64, 4
 PREFIXES, LEVELS = (4, 5), (1, 2, 3, 5)
+#: Bits for an example's number beside its similarity.
+NUMBER = 22
 
 
 def terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -121,12 +123,13 @@ class Index:
         if len(filled):
             bound[filled] = np.add.reduceat(self.most[term] * weight[:, None], first[filled], axis=0)
         by_bound = np.argsort(-bound, axis=1, kind="stable")
-        best, who = np.zeros((n, k)), np.full((n, k), -1, np.int64)
+        # similarity in units of 1e-12 and, below it, the number: one key orders both, lower numbers first where similarities are equal
+        top = np.zeros((n, k), np.int64)
         live = filled
         for a in range(0, self.n_blocks, STEP):
             picked = by_bound[live, a : a + STEP]
             # a little slack: sums in another order may differ in the last digit
-            alive = np.take_along_axis(bound[live], picked[:, :1], 1)[:, 0] > np.maximum(best[live, k - 1] - 1e-9, 0)
+            alive = np.take_along_axis(bound[live], picked[:, :1], 1)[:, 0] > np.maximum((top[live, k - 1] >> NUMBER) * 1e-12 - 1e-9, 0)
             live, picked = live[alive], picked[alive]
             if not len(live):
                 break
@@ -137,17 +140,17 @@ class Index:
             entry = np.arange(len(pair)) - np.repeat(np.cumsum(terms_of) - terms_of, terms_of) + first[pair_row][pair]
             slot = term[entry] * self.n_blocks + pair_block[pair]
             size = self.begin[slot + 1] - self.begin[slot]
+            some = np.flatnonzero(size)
+            pair, entry, slot, size = pair[some], entry[some], slot[some], size[some]
             post = np.repeat(self.begin[slot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            score = np.bincount(np.repeat(pair, size) * BLOCK + self.local[post], np.repeat(weight[entry], size) * self.weight[post], minlength=len(pair_row) * BLOCK)
-            score = score.reshape(len(live), width * BLOCK)
-            number = (picked[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(len(live), -1)
-            s, w = np.concatenate([best[live], np.round(score, 12)], axis=1), np.concatenate([who[live], np.where(score > 0, number, -1)], axis=1)
-            # lower numbers first where similarities are equal
-            o = np.argsort(w, axis=1, kind="stable")
-            s, w = np.take_along_axis(s, o, 1), np.take_along_axis(w, o, 1)
-            o = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            best[live], who[live] = np.take_along_axis(s, o, 1), np.take_along_axis(w, o, 1)
-        return best, who
+            score = np.bincount(np.repeat(pair * BLOCK, size) + self.local[post], np.repeat(weight[entry], size) * self.weight[post], minlength=len(pair_row) * BLOCK)
+            number = ((picked[:, :, None] * BLOCK) + np.arange(BLOCK)).reshape(len(live), -1)
+            key = np.rint(score * 1e12).astype(np.int64).reshape(len(live), -1)
+            key = np.where(key > 0, key << NUMBER | (1 << NUMBER) - 1 - number, 0)
+            key = np.concatenate([top[live], key], axis=1)
+            key.partition(key.shape[1] - k, axis=1)
+            top[live] = -np.sort(-key[:, -k:], axis=1)
+        return (top >> NUMBER) * 1e-12, np.where(top > 0, (1 << NUMBER) - 1 - (top & (1 << NUMBER) - 1), -1)
 
 
 class Model:
@@ -223,6 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = EACH) -> Model:
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     got = sample.where("part > 0").select("doc_id", "text", "label").mapInArrow(vectors, f"doc_id {kind}, label int, term binary, x binary").orderBy("doc_id", "term", "label").collect()
+    # examples that share their heaviest terms share a block, so that blocks differ and bounds tell
+    heavy = [np.frombuffer(r.term, "<u2")[np.argsort(-np.frombuffer(r.x, "<f8"), kind="stable")[:2]].tolist() for r in got]
+    got = [got[i] for i in sorted(range(len(got)), key=lambda i: (got[i].label, heavy[i], i))]
     n = [len(r.term) // 2 for r in got]
     row = np.repeat(np.arange(len(got)), n)
     term = np.frombuffer(b"".join(bytes(r.term) for r in got), "<u2").astype(np.int64)
