@@ -1,14 +1,17 @@
 """Token counts by overlap resynchronisation.
 
-A document longer than ``chunk`` characters is encoded in overlapping chunks with
-character offsets. Two neighbours are spliced at a boundary that both encodings
-have inside their overlap and that is *stable*: the next piece begins with the
-space mark and the one before does not end with it. A vocabulary in which no
-piece holds the mark behind another character can never merge across such a
-place, so what lies left of it cannot change what lies right of it. ``stable``
-proves that property for the loaded vocabulary; where an overlap has no such
-boundary (one word longer than the overlap), the overlap is doubled, in the end
-up to the whole document.
+A text is encoded by the library. One longer than ``chunk`` characters is encoded in
+overlapping chunks, each with the offsets of its tokens, and two neighbours are spliced
+at a boundary inside their overlap that both encodings have and that is proven stable:
+no piece of the vocabulary holds the characters before and behind it side by side (a
+space counts as the mark that stands for it), so no token of any encoding crosses it and
+nothing on one side changes the other. What lies left of the boundary is taken from the
+left chunk's tokens, what lies right of it from the right chunk's. Where an overlap has
+no such boundary, it is doubled; once it is the whole left chunk, that chunk is made
+twice as long, in the end the whole text.
+
+The proof needs a model that leaves its input as it is (identity normaliser, white space
+kept); with any other, texts are encoded whole.
 
 Defined results: null text counts as empty (0 tokens, 0 bytes); empty tables give
 an empty result; repeated rows each get their row; other columns are not read.
@@ -18,67 +21,41 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CHUNK, OVERLAP = 8192, 256
+CHUNK, OVERLAP = 32768, 512
 _MARK = "▁"
 _loaded: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """A sentencepiece model that remembers the pieces of short stretches between stable boundaries."""
-
-    #: Stretches up to this length are remembered, up to so many of them.
-    SHORT, MOST = 48, 1_000_000
+    """A sentencepiece model with the pairs of characters that its pieces hold side by side."""
 
     def __init__(self, path: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        own = [p for i, p in enumerate(pieces) if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i))]
-        #: No piece crosses from another character to the mark.
-        self.stable = not any(_MARK in p.lstrip(_MARK) for p in own)
-        special = [p for i, p in enumerate(pieces) if self.model.is_control(i) or self.model.is_unknown(i)]
-        # the cut at single spaces also needs an identity normaliser with a dummy prefix
-        probe = "a  b c ﬁ ①x́ d "
-        self.plain = self.stable and self.model.decode(self.model.encode(probe)) == probe and self.model.encode("a", out_type=str)[0].startswith(_MARK) and not any(" " in p for p in special)
-        self.known: dict[str, tuple[int, ...]] = {}
+        spec = sentencepiece_model_pb2.ModelProto()
+        spec.ParseFromString(self.model.serialized_model_proto())
+        rules = spec.normalizer_spec
+        self.local = not rules.precompiled_charsmap and not rules.normalization_rule_tsv and not rules.remove_extra_whitespaces and rules.escape_whitespaces
+        self.pairs = {p.piece[i : i + 2] for p in spec.pieces for i in range(len(p.piece) - 1)}
 
     def count(self, text: str) -> int:
-        """Pieces of a text. Words between stable boundaries are encoded by the library once and remembered."""
-        if not self.plain or "  " in text or _MARK in text or text.startswith(" ") or text.endswith(" ") or not text:
-            return len(self.model.encode(text, num_threads=1))
-        known, total = self.known, 0
-        try:
-            return sum(map(known.__getitem__, text.split(" ")))
-        except KeyError:
-            pass
-        for word in text.split(" "):
-            n = known.get(word)
-            if n is None:
-                n = len(self.model.encode(word, num_threads=1))
-                if len(word) <= self.SHORT:
-                    if len(known) >= self.MOST:
-                        known.clear()
-                    known[word] = n
-            total += n
-        return total
-
-    def boundaries(self, text: str, lo: int, hi: int) -> list[int]:
-        """Stable piece boundaries of ``text`` in [lo, hi], from the offsets of its own encoding around there.
-
-        A boundary at c: a piece ends at c, text[c] is a space, its neighbours are none.
-        """
-        spaces = [c for c in range(max(lo, 1), min(hi + 1, len(text))) if text[c] == " " and text[c - 1] not in (" ", _MARK) and text[c + 1 : c + 2] not in ("", " ", _MARK)]
-        if not spaces:
-            return []
-        # the stretch begins with the mark for its space, which the dummy prefix stands for; offsets are in bytes
-        a = spaces[0]
-        stretch = text[a + 1 : hi + 1]
-        ends = {x.end for x in self.model.encode(stretch, return_type="proto").pieces}
-        return [a] + [c for c in spaces[1:] if len(stretch[: c - a - 1].encode()) in ends]
+        return len(self.model.encode(text, num_threads=1))
+
+    def begins(self, text: str) -> np.ndarray:
+        """Where each token of ``text`` begins, in bytes of its UTF-8 form."""
+        tokens = self.model.encode(text, return_type="proto").pieces
+        return np.fromiter((t.begin for t in tokens), np.int64, len(tokens))
+
+    def stable(self, text: str, lo: int, hi: int) -> list[int]:
+        """Places c from ``lo`` to ``hi`` (of characters, ends excluded) that no token of any encoding crosses."""
+        around = text[lo:hi].replace(" ", _MARK)
+        return [lo + k for k in range(1, len(around)) if around[k - 1 : k + 1] not in self.pairs]
 
 
 def encoder(path: str) -> Encoder:
@@ -87,36 +64,41 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def count_document(enc: Encoder, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[int, int]:
-    """(tokens, chunks) of one text; equal to encoding it whole."""
-    if len(text) <= chunk + overlap or not enc.stable:
-        return enc.count(text), 1
-    total, parts, begin = 0, 0, 0
-    while True:
-        end = begin + chunk
-        if end + overlap >= len(text):
-            return total + enc.count(text[begin + (begin > 0) :]), parts + 1
-        wide = overlap
-        while True:
-            stop = min(len(text), end + wide)
-            left = enc.boundaries(text[begin:stop], end - begin, stop - begin - 1)
-            right = set(enc.boundaries(text[end - wide if end - wide > begin else begin : stop], 0, stop - max(end - wide, begin) - 1))
-            base = max(end - wide, begin)
-            common = [c for c in left if c + begin - base in right]
-            if common or stop == len(text):
-                break
+def count_document(enc: Encoder, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[int, int, int]:
+    """(tokens, chunks, widened overlaps) of one text; the tokens are those of encoding it whole."""
+    if len(text) <= chunk or not enc.local:
+        return enc.count(text), 1, 0
+    # the left chunk is text[begin:end]; its tokens count from the byte ``cut`` of it on
+    begin, end, cut, wide = 0, chunk, 0, overlap
+    total, parts, widened = 0, 1, 0
+    own = enc.begins(text[begin:end])
+    while end < len(text):
+        start = max(end - wide, begin)
+        places = enc.stable(text, start, end)
+        # a boundary behind the last splice, in bytes of both chunks
+        before, at = len(text[begin:start].encode()), np.array([0, *np.cumsum([len(c.encode()) for c in text[start:end]])])
+        if places:
+            stop = min(len(text), end + chunk)
+            right = enc.begins(text[start:stop])
+            inside = at[np.array(places) - start]
+            inside = inside[(before + inside > cut) & np.isin(before + inside, own) & np.isin(inside, right)]
+            if len(inside):
+                c = int(inside[len(inside) // 2])
+                total += int(np.searchsorted(own, before + c) - np.searchsorted(own, cut))
+                begin, end, cut, own, wide, parts = start, stop, c, right, overlap, parts + 1
+                continue
+        widened += 1
+        if start > begin:
             wide *= 2
-        if not common:
-            return total + enc.count(text[begin + (begin > 0) :]), parts + 1
-        cut = begin + common[0]
-        # from a cut on, the dummy prefix stands for the space at the cut
-        total += enc.count(text[begin + (begin > 0) : cut])
-        parts += 1
-        begin = cut
+            continue
+        end, wide = min(len(text), begin + 2 * (end - begin)), overlap
+        own = enc.begins(text[begin:end])
+    # a token that begins at byte 0 may be the dummy prefix alone
+    return total + len(own) - int(np.searchsorted(own, cut)), parts, widened
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), n_chunks of each row of ``docs(doc_id, text)``.
+    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit), n_chunks, n_widened of each row of ``docs(doc_id, text)``.
 
     One pass without a shuffle. The vocabulary's path is a parameter; each Python
     worker loads it once.
@@ -125,15 +107,14 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, chunk: int = CH
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
-            out = {"n_bytes": [], "n_tokens": [], "over_limit": [], "n_chunks": []}
+            out = {"n_bytes": [], "n_tokens": [], "over_limit": [], "n_chunks": [], "n_widened": []}
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                n, parts = count_document(enc, text, chunk, overlap)
-                out["n_bytes"].append(len(text.encode()))
-                out["n_tokens"].append(n)
-                out["over_limit"].append(n > limit)
-                out["n_chunks"].append(parts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out["n_bytes"], pa.int64()), pa.array(out["n_tokens"], pa.int64()), pa.array(out["over_limit"], pa.bool_()), pa.array(out["n_chunks"], pa.int32())], ["doc_id", "n_bytes", "n_tokens", "over_limit", "n_chunks"])
+                n, parts, widened = count_document(enc, text, chunk, overlap)
+                for name, x in zip(out, (len(text.encode()), n, n > limit, parts, widened), strict=True):
+                    out[name].append(x)
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(out.values(), kinds, strict=True))], ["doc_id", *out])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, n_chunks int")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, n_chunks int, n_widened int")
