@@ -17,9 +17,11 @@ SLICE_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of ``spark.checkpoint.dir`` (a temporary one only where it is unset)."""
+    """A new folder name under the shared folder of ``spark.checkpoint.dir``; where that is unset a temporary folder serves a local session, and a cluster raises."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         base = "file://" + tempfile.gettempdir() + "/tracelake-scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -31,6 +33,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: str, name: str) -> DataFrame:
+    """The same as a table in buckets of ``by``: joins and groups by that column shuffle the other side alone."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"tracelake_{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, by).sortBy(by).option("path", scratch(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def set_apart(docs: DataFrame, *used: str) -> DataFrame:
     """``docs`` with all columns but the ``used`` ones renamed, so that no name clashes with those an operator adds; ``toDF(*docs.columns)`` gives them back."""
     return docs.toDF(*[c if c in used else f"own{i}" for i, c in enumerate(docs.columns)])
