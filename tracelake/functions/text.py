@@ -113,6 +113,13 @@ def session_key(started: Column, precise: Column) -> Column:
     return F.when(finite(started) & finite(precise), F.substring(F.sha2(both, 256), 1, 16))
 
 
+def unpacked(v: Column) -> Column:
+    """The entries of a recorded tuple as texts: a JSON list, or an object of places 1 to ``n`` (missing places are null); null for other values."""
+    n = F.get_json_object(v, "$.n").try_cast("int")
+    places = F.transform(F.sequence(F.lit(1), n), lambda k: F.call_function("get_json_object", v, F.concat(F.lit("$."), k.cast("string"))))
+    return F.when(v.startswith("["), F.from_json(v, "array<string>")).when(n >= 1, places).when(n == 0, F.array().cast("array<string>"))
+
+
 def sampled(key: Column, percent_: float) -> Column:
     """Whether a key is in a sample of so many per cent; every larger sample holds the smaller ones."""
     return F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("double") / F.lit(2.0**32) < percent_ / 100
@@ -136,6 +143,12 @@ CATEGORIES = (
     ("target", ("NAME_PLATE_",), ("PLAYER_TARGET_CHANGED",)),
     ("zone", ("ZONE_",), ("PLAYER_ENTERING_WORLD", "NEW_WMO_CHUNK")),
     ("inventory", ("BAG_", "ITEM_"), ()),
+    ("npc", (), (
+        "MERCHANT_SHOW", "MERCHANT_CLOSED", "TRAINER_SHOW", "TRAINER_CLOSED", "MAIL_SHOW", "MAIL_CLOSED", "AUCTION_HOUSE_SHOW", "AUCTION_HOUSE_CLOSED",
+        "BANKFRAME_OPENED", "BANKFRAME_CLOSED", "TAXIMAP_OPENED", "TAXIMAP_CLOSED", "GUILD_REGISTRAR_SHOW", "GUILD_REGISTRAR_CLOSED", "PET_STABLE_SHOW", "PET_STABLE_CLOSED",
+        "BATTLEFIELDS_SHOW", "BATTLEFIELDS_CLOSED", "PETITION_SHOW", "PETITION_CLOSED", "GUILDBANKFRAME_OPENED", "GUILDBANKFRAME_CLOSED",
+    )),
+    ("init", (), ("ADDON_LOADED", "PLAYER_LOGIN", "PLAYER_LOGOUT", "PLAYER_LEAVING_WORLD", "SPELLS_CHANGED", "LOADING_SCREEN_DISABLED")),
 )
 
 

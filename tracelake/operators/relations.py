@@ -82,11 +82,15 @@ def unique_inverse(rows: DataFrame, steps: DataFrame, on: str, value: str, colum
     return rows.join(unique, (F.col(on) == F.col("_on")) & (F.col(value) == F.col("_x")), "left").drop("_on", "_x", "_n")
 
 
-def split_spillover(gains: DataFrame, by: Sequence[str], part: str, amount: str) -> DataFrame:
-    """``gains`` with the part each is a quarter of: a larger gain of the same sign whose quarter lies within 1 of it (the largest such)."""
-    other = gains.select(*by, F.col(part).alias("_part"), F.col(amount).alias("_amount"))
+def split_spillover(gains: DataFrame, by: Sequence[str], part: str, amount: str, lowest: bool = False) -> DataFrame:
+    """``gains`` with the part each is a quarter of: a larger gain of the same sign whose quarter lies within 1 of it (the largest such; of equals the greatest part, or the lowest).
+
+    An equi-join on whole numbers: a gain meets the quarters in its own bin and its neighbours.
+    """
+    other = gains.select(*by, F.col(part).alias("_part"), F.col(amount).alias("_amount"), F.floor(F.col(amount) / 4).alias("_bin"))
+    asked = gains.select(*by, part, amount, F.explode(F.array(*[F.floor(amount) + d for d in (-1, 0, 1)])).alias("_bin"))
     near = (F.abs(F.col(amount) - F.col("_amount") / 4) <= 1) & (F.signum(amount) == F.signum("_amount")) & (F.abs("_amount") > F.abs(F.col(amount))) & (F.col(part) != F.col("_part"))
-    source = gains.join(other, list(by)).where(near).groupBy(*by, part).agg(F.max_by("_part", F.struct(F.abs("_amount"), "_part")).alias("source"))
+    source = asked.join(other, [*by, "_bin"]).where(near).groupBy(*by, part).agg(F.max_by("_part", F.struct(F.abs("_amount"), -F.col("_part") if lowest else F.col("_part"))).alias("source"))
     return gains.join(source, [*by, part], "left")
 
 

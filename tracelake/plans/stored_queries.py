@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import spatial
+from ..sources.scratch import scratch
 from ..sources.store import Store
 from ..streaming import changes as streams
 from .query import Family
@@ -16,12 +14,6 @@ from .query import Family
 QUERIES = Family()
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one; a temporary one only where the session names none."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.gettempdir() + "/tracelake"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _stream(read, name: str) -> DataFrame:
     table = read(name)
     # the folder of the table's files, or of its only file
