@@ -197,6 +197,22 @@ def clock_text(seconds: Column) -> Column:
     return F.format_string("%02d:%02d.%03d", F.floor(millis / 60000), F.floor(millis / 1000) % 60, millis % 1000)
 
 
+def positive_whole(v: Column) -> Column:
+    """A recorded number (or its text) if it is whole and positive."""
+    x = v.try_cast("double")
+    return F.when((x > 0) & (x == F.floor(x)), x.cast("long"))
+
+
+def client_version(stream: Column, envelope: Column) -> Column:
+    """The version that a session's own stream tells, else that of its envelope."""
+    return F.coalesce(stream, positive_whole(envelope))
+
+
+def by_number(key: Column) -> list[Column]:
+    """The order of texts of which numbers stand first, by value."""
+    return [key.try_cast("double").asc_nulls_last(), key.asc()]
+
+
 def version_is(version: Column, major: str) -> Column:
     """Whether a version starts with ``major``; unknown versions count in."""
     return version.isNull() | version.cast("string").startswith(major)

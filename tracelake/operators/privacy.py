@@ -46,3 +46,27 @@ def without_self(samples: DataFrame, own: DataFrame, guid_fn: str = "UnitGUID",
     shown = F.col("fn").isin(guid_fn, *name_fns)
     same = [F.col(f"a.{c}") == F.col(f"m.{c}") for c in ("sid", "params", "t")]
     return samples.where(~shown).unionByName(samples.where(shown).alias("a").join(mine.alias("m"), same, "left_anti"))
+
+
+def crafter_pattern(template: str) -> str:
+    """An anchored pattern whose second group is the first argument of a template with %s and %d (or %1$s) places."""
+    out, n, found = "", 0, False
+    for part in re.split(r"(%(?:\d\$)?[sd])", template):
+        if not re.fullmatch(r"%(?:\d\$)?[sd]", part):
+            out += re.escape(part)
+            continue
+        n += 1
+        if int(part[1] if "$" in part else n) == 1 and not found:
+            found, out = True, f"({out})(.*?)("
+        else:
+            out += ".*?"
+    return f"^{out})$" if found else ""
+
+
+def tradeskill(message: Column, own: Sequence[str], others: Sequence[str]) -> Column:
+    """A tradeskill message without the crafter's name: ``others`` begin with one, ``own`` have none; other texts are dropped (null)."""
+    out = F.when(message == "", message)
+    for template in others:
+        if pattern := crafter_pattern(template):
+            out = out.when(message.rlike(pattern), F.regexp_replace(message, pattern, "$1<name>$3"))
+    return out.when(message_allowed(message, own), message)

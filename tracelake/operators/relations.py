@@ -21,6 +21,11 @@ def retained(rows: DataFrame, by: Sequence[str], order: Sequence[Column], n: int
     return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_place") <= n).drop("_place")
 
 
+def placed(rows: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "place") -> DataFrame:
+    """``rows`` numbered within each key in ``order``."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
 def holders(rows: DataFrame, keys: DataFrame, key: str, holder: str) -> DataFrame:
     """Distinct ``holder`` values of the rows whose key is among ``keys``."""
     return rows.join(keys.select(key).distinct(), key, "left_semi").select(holder).distinct()
@@ -103,3 +108,25 @@ def roots(spark_rows: DataFrame, node: str, parent: str, most: int = 100) -> Dat
           SELECT {node}, {node}, 0 FROM _forest WHERE {parent} IS NULL
           UNION ALL SELECT f.{node}, up.root, up.depth + 1 FROM _forest f JOIN up ON f.{parent} = up.node)
         SELECT node, root, depth FROM up""")
+
+
+def by_id_or_name(rows: DataFrame, dimension: DataFrame, id_: str, name: Column, dim_id: str, dim_name: Column, value: str) -> DataFrame:
+    """``rows`` with the dimension's ``value`` of their id, or else of their display name (of its lowest id)."""
+    by_id = dimension.groupBy(F.col(dim_id).alias("_id")).agg(F.min(value).alias("_by_id"))
+    by_name = dimension.groupBy(dim_name.alias("_name")).agg(F.min_by(value, dim_id).alias("_by_name"))
+    out = rows.withColumn("_n", name).join(by_id, F.col(id_) == F.col("_id"), "left").join(by_name, F.col("_n") == F.col("_name"), "left")
+    return out.withColumn(value, F.coalesce("_by_id", "_by_name")).drop("_n", "_id", "_name", "_by_id", "_by_name")
+
+
+def indexed(rows: DataFrame, lists: DataFrame, values: DataFrame, by: Sequence[str], t: str, index: str) -> DataFrame:
+    """``rows`` with the ``v`` that held, at their time, for the key at place ``index`` (from 1) of the list that held then: ``lists(by, t, pos, keys)``, ``values(by, key, t, pos, v)``."""
+    from . import temporal
+
+    found = temporal.asof(rows, lists, by, t, ["keys"], ["pos"], names=["_keys"]).drop("matched")
+    keyed = found.withColumn("key", F.try_element_at("_keys", F.col(index).cast("int"))).drop("_keys")
+    return temporal.asof(keyed, values, [*by, "key"], t, ["v"], ["pos"]).drop("matched")
+
+
+def single_of(rows: DataFrame, relation: DataFrame, on: str, members: str) -> DataFrame:
+    """``rows`` whose relation (``on`` -> array ``members``) has exactly one member, as ``member``."""
+    return rows.join(relation.where(F.size(members) == 1).select(on, F.col(members)[0].alias("member")), on)

@@ -75,7 +75,7 @@ _NAMES = ("QUEST_TURNED_IN", "CHAT_MSG_LOOT", "CHAT_MSG_COMBAT_XP", "CHAT_MSG_SA
 
 @QUERIES(f"""WITH n AS (SELECT event_id, {list(_NAMES)}[CAST(event_id % 10 AS INT) + 1] AS name FROM events),
 c AS (SELECT *, CASE WHEN starts_with(name, 'QUEST_') OR name = 'GOSSIP_SHOW' THEN 'quest' WHEN name = 'CHAT_MSG_LOOT' THEN 'loot' WHEN starts_with(name, 'CHAT_MSG_COMBAT') OR name = 'PLAYER_REGEN_ENABLED' THEN 'combat' WHEN starts_with(name, 'CHAT_MSG_') THEN 'chat'
-  WHEN starts_with(name, 'NAME_PLATE_') THEN 'target' WHEN starts_with(name, 'ZONE_') THEN 'zone' WHEN starts_with(name, 'BAG_') THEN 'inventory' ELSE 'other' END AS category FROM n)
+  WHEN starts_with(name, 'NAME_PLATE_') THEN 'target' WHEN starts_with(name, 'ZONE_') THEN 'zone' WHEN starts_with(name, 'BAG_') THEN 'inventory' WHEN name = 'MERCHANT_SHOW' THEN 'npc' ELSE 'other' END AS category FROM n)
 SELECT event_id, name, category FROM c WHERE category IN ('quest', 'chat', 'combat', 'other') AND contains(lower(name), 'e')""")
 def event_category_filter(read):
     name = F.element_at(F.array(*[F.lit(x) for x in _NAMES]), (F.col("event_id") % 10 + 1).cast("int"))

@@ -133,5 +133,40 @@ def exports(text: str, marker: str) -> tuple[list[object], list[str]]:
             found.append(value)
         except ValueError as e:
             dropped.append(str(e))
-    cut = len(re.findall(rf"!{marker}:\d+!", text)) - len(whole)
-    return found, dropped + ["an export is cut off"] * cut
+    begun = len(re.findall(rf"!{marker}:\d+!", text))
+    if not begun:
+        return [], ["no export in the text"]
+    return found, dropped + ["an export is cut off"] * (begun - len(whole))
+
+
+def to_cbor(value: object) -> bytes:
+    """A value of texts, numbers, truth values, lists and tables as one item; lists as tables of 1 to n, None as nil."""
+    if value is None:
+        return b"\xf6"
+    if isinstance(value, bool):
+        return b"\xf5" if value else b"\xf4"
+    if isinstance(value, int):
+        return _head(0, value) if value >= 0 else _head(1, -1 - value)
+    if isinstance(value, float):
+        return b"\xfb" + struct.pack(">d", value)
+    if isinstance(value, str):
+        return _head(3, len(raw := value.encode())) + raw
+    if isinstance(value, list):
+        return _head(4, len(value)) + b"".join(map(to_cbor, value))
+    return _head(5, len(value)) + b"".join(to_cbor(int(k) if isinstance(k, str) and _whole(k) else k) + to_cbor(v) for k, v in value.items())
+
+
+def _head(major: int, n: int) -> bytes:
+    for info, size in ((24, 1), (25, 2), (26, 4), (27, 8)):
+        if n < 24:
+            return bytes([major << 5 | n])
+        if n < 1 << 8 * size:
+            return bytes([major << 5 | info]) + n.to_bytes(size, "big")
+    raise ValueError("a number is too large")
+
+
+def to_export(value: object, marker: str, number: int = 1) -> str:
+    """The export of a table, as ``exports`` reads it."""
+    z = zlib.compressobj(9, zlib.DEFLATED, -15)
+    body = to_print(z.compress(to_cbor(value)) + z.flush())
+    return f"!{marker}:{number}!{body}!End:{marker}:{number}!"

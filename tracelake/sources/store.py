@@ -30,7 +30,10 @@ class Store:
     def _read(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException:
+        except AnalysisException as e:
+            # nothing was stored yet; anything else must not pass for an empty store
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def manifest(self) -> DataFrame:
