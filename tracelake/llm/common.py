@@ -148,8 +148,8 @@ def held_out(column: str | Column, modulus: int, remainder: int) -> Column:
 CLASSES = 1000
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, each: int, seed: int) -> tuple[DataFrame, dict]:
-    """(doc_id, text, label) of about ``each`` ids of every class, and the number of labelled ids of every class.
+def labelled_sample(docs: DataFrame, labels: DataFrame, each: int, seed: int, most: int = 1 << 30) -> tuple[DataFrame, dict]:
+    """(doc_id, text, label) of about ``each`` ids of every class, ``most`` of all together, and the number of labelled ids of every class.
 
     Ids are drawn from ``labels(doc_id, label)`` alone, by a hash that gives the same
     ids on each run: no text is shuffled to draw them and one class may hold nearly all
@@ -161,6 +161,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, each: int, seed: int) ->
     counts = {r[0]: r[1] for r in own.groupBy("label").count().limit(CLASSES + 1).collect()}
     if len(counts) > CLASSES:
         raise ValueError(f"more than {CLASSES} classes")
+    each = min(each, most // max(len(counts), 1))
     rate = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))])[F.col("label")] if counts else F.lit(0.0)
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     chosen = own.where(u < rate)

@@ -1,19 +1,19 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Learning takes a bounded sample (``EACH`` rows in expectation for each language,
-chosen by a hash of the id; whole texts). Spark counts letters and n-gram document
-frequencies over the sample; the vocabulary is the ``FEATURES`` most frequent
-n-grams of 1 to 3 symbols. The weights are learned by follow-the-regularised-leader
+Learning takes a bounded sample (``EACH`` rows in expectation for each language, ``ROWS``
+in all, chosen by a hash of the id; whole texts). Spark counts n-gram document
+frequencies over the sample; the vocabulary is the ``FEATURES`` most frequent n-grams of
+1 to 3 characters. The weights are learned by follow-the-regularised-leader
 (FTRL-Proximal) with L1 and L2 penalties, so most are exactly 0; a part of the
 sample that training leaves out then fits the softmax temperature.
 
-Symbols: letters are lower-cased; the ``LETTERS`` most frequent get their own
-symbol, any other letter the symbol of its Unicode block; what is no letter is a
-blank, and runs of blanks are one n-gram context. Texts are scored whole.
+Characters: letters of every script, lower-cased; whatever is no letter is a blank, and a
+run of blanks is one. An n-gram is its code points side by side in 63 bits, so no two are
+confused. Texts are scored whole, ``PIECE`` characters at a time.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, or
-where no labelled row exists; with one language that language; other columns are
-not read; repeated rows each get their row.
+where no labelled row exists; with one language that language; of equal scores the
+language that sorts first; other columns are not read; repeated rows each get their row.
 """
 
 from __future__ import annotations
@@ -28,66 +28,74 @@ from pyspark.sql import functions as F
 
 from .common import labelled_sample, slices
 
-EACH, FEATURES, LETTERS, BLOCKS = 400, 6000, 94, 33
-BASE = 1 + LETTERS + BLOCKS
+EACH, ROWS, FEATURES, PIECE = 400, 20_000, 6000, 1 << 20
 _tables: dict[str, np.ndarray] = {}
 
 
-def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: its lower-case code point, and whether it is a letter."""
+def _symbols() -> np.ndarray:
+    """The symbol of each code point: 1 for a blank, else 1 and the lower-case code point."""
     if not _tables:
-        lower = np.arange(0x110000, dtype=np.uint32)
-        letter = np.zeros(0x110000, bool)
+        own = np.ones(0x110000, np.int64)
         for c in range(0x110000):
             if unicodedata.category(ch := chr(c))[0] == "L":
-                letter[c] = True
-                if len(low := ch.lower()) == 1:
-                    lower[c] = ord(low)
-        _tables["lower"], _tables["letter"] = lower, letter
-    return _tables["lower"], _tables["letter"]
+                own[c] = 1 + (ord(low) if len(low := ch.lower()) == 1 else c)
+        _tables["symbols"] = own
+    return _tables["symbols"]
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def symbol_table(alphabet: list[int]) -> np.ndarray:
-    """The symbol of each code point for the letters of ``alphabet`` (lower-case code points)."""
-    lower, letter = _letters()
-    own = 1 + LETTERS + ((np.arange(0x110000) >> 7) % BLOCKS)
-    own[np.array(alphabet, np.int64)] = 1 + np.arange(len(alphabet))
-    return np.where(letter, own[lower], 0).astype(np.uint8)
+def grams(text: str, piece: int = PIECE) -> Iterator[np.ndarray]:
+    """Codes of all n-grams of 1 to 3 symbols of a text, piece by piece."""
+    symbols, before = _symbols(), np.zeros(0, np.int64)
+    for a in range(0, len(text), piece):
+        s = symbols[code_points(text[a : a + piece])]
+        blank = s == 1
+        s = s[~(blank & np.concatenate([[len(before) > 0 and before[-1] == 1], blank[:-1]]))]
+        if not len(s):
+            continue
+        n = len(before)
+        s = np.concatenate([before, s])
+        two = (s[:-1] << 21) | s[1:]
+        three = (two[:-1] << 21) | s[2:]
+        # those that lie in the pieces before whole were given there
+        yield np.concatenate([s[n:], two[max(n - 1, 0) :], three])
+        before = s[-2:]
 
 
-def grams(points: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Codes of all n-grams of 1 to 3 symbols."""
-    s = table[points].astype(np.int32)
-    two = s[:-1] * BASE + s[1:]
-    three = two[:-1] * BASE + s[2:]
-    return np.concatenate([s, two + BASE, three + (BASE + BASE * BASE)])
-
-
-SIZE = BASE + BASE**2 + BASE**3
+def has_letter(text: str) -> bool:
+    return any(c.isalpha() for c in text)
 
 
 class Model:
-    """Alphabet, n-gram codes with their idf, weights by language and the temperature."""
+    """Sorted n-gram codes with their idf, weights by language and the temperature."""
 
-    def __init__(self, alphabet: list[int], codes: np.ndarray, idf: np.ndarray, languages: list[str]):
-        self.alphabet, self.codes, self.idf, self.languages = alphabet, codes, idf.astype(np.float32), languages
+    def __init__(self, codes: np.ndarray, idf: np.ndarray, languages: list[str]):
+        order = np.argsort(codes)
+        self.codes, self.idf, self.languages = codes[order], idf[order].astype(np.float32), languages
         self.weights = np.zeros((len(codes), len(languages)), np.float32)
         self.bias = np.zeros(len(languages), np.float32)
         self.temperature = 1.0
 
     def open(self) -> Model:
-        self.table = symbol_table(self.alphabet)
-        self.number = np.zeros(SIZE, np.int32)  # 0: not in the vocabulary
-        self.number[self.codes] = 1 + np.arange(len(self.codes))
+        # a table of hashes leaves most other n-grams out before they are searched for
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self._slot(self.codes)] = True
         return self
 
-    def vector(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and TF-IDF values of unit length."""
-        n = np.bincount(self.number[grams(points, self.table)], minlength=len(self.codes) + 1)[1:]
+        n = np.zeros(len(self.codes), np.int64)
+        for codes in grams(text):
+            codes = codes[self.maybe[self._slot(codes)]]
+            at = np.minimum(np.searchsorted(self.codes, codes), max(len(self.codes) - 1, 0))
+            n += np.bincount(at[self.codes[at] == codes], minlength=len(self.codes))
         at = np.flatnonzero(n)
         x = (1 + np.log(n[at])).astype(np.float32) * self.idf[at]
         return at, x / max(float(np.sqrt((x * x).sum())), 1e-12)
@@ -142,45 +150,33 @@ def _temperature(model: Model, rows: list) -> float:
 def fit(labelled: DataFrame, each: int = EACH, features: int = FEATURES) -> Model | None:
     """Learn from ``labelled(doc_id, text, lang)``; None if it has no labelled text."""
     own = labelled.where("text is not null")
-    sample = labelled_sample(own, own.select("doc_id", F.col("lang").alias("label")), each, 10)[0].withColumnRenamed("label", "lang").repartition(12).cache()
+    sample = labelled_sample(own, own.select("doc_id", F.col("lang").alias("label")), each, 10, ROWS)[0].withColumnRenamed("label", "lang").repartition(12).cache()
     languages = sorted(r[0] for r in sample.select("lang").distinct().collect())
     if not languages:
         return None
 
-    def count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower, letter = _letters()
-        for batch in slices(batches):
-            p = code_points("".join(x or "" for x in batch.column("text").to_pylist()))
-            c, n = np.unique(lower[p[letter[p]]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(n, pa.int64())], ["c", "n"])
-
-    letters = sample.select("text").mapInArrow(count_letters, "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
-    alphabet = [r[0] for r in letters.orderBy(F.desc("n"), "c").limit(LETTERS).collect()]
-
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, df = symbol_table(alphabet), np.zeros(SIZE, np.int32)
-        for batch in batches:
-            for text in batch.column("text"):
-                df[np.unique(grams(code_points(text.as_py()), table))] += 1
-        c = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(df[c], pa.int64())], ["c", "n"])
+        for batch in slices(batches, most=1 << 20):
+            each = [np.unique(np.concatenate(list(grams(t.as_py())) or [np.zeros(0, np.int64)])) for t in batch.column("text")]
+            c, n = np.unique(np.concatenate(each), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(n, pa.int64())], ["c", "n"])
 
     df = sample.select("text").mapInArrow(count_grams, "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
     top = df.orderBy(F.desc("n"), "c").limit(features).collect()
     n_rows = sample.count()
-    model = Model(alphabet, np.array([r[0] for r in top], np.int64), np.log((1 + n_rows) / (1 + np.array([r[1] for r in top], np.float64))) + 1, languages)
+    model = Model(np.array([r[0] for r in top], np.int64), np.log((1 + n_rows) / (1 + np.array([r[1] for r in top], np.float64))) + 1, languages)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.open()
         for batch in batches:
-            rows = [own.vector(code_points(t.as_py())) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array([a.astype("<u2").tobytes() for a, _ in rows], pa.binary()), pa.array([x.tobytes() for _, x in rows], pa.binary())], ["doc_id", "lang", "at", "x"])
+            rows = [own.vector(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array([a.astype("<u4").tobytes() for a, _ in rows], pa.binary()), pa.array([x.tobytes() for _, x in rows], pa.binary())], ["doc_id", "lang", "at", "x"])
 
-    # at most `features` pairs a row
+    # at most ROWS rows of at most `features` pairs
     kind = sample.schema["doc_id"].dataType.simpleString()
     got = sample.mapInArrow(vectors, f"doc_id {kind}, lang string, at binary, x binary").select(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(5)).alias("k"), "lang", "at", "x").orderBy(F.xxhash64("at", "x", "lang")).collect()
     sample.unpersist()
-    rows = [(r.k, np.frombuffer(r.at, "<u2").astype(np.int64), np.frombuffer(r.x, np.float32), languages.index(r.lang)) for r in got]
+    rows = [(r.k, np.frombuffer(r.at, "<u4").astype(np.int64), np.frombuffer(r.x, np.float32), languages.index(r.lang)) for r in got]
     train, rest = [r[1:] for r in rows if r[0]], [r[1:] for r in rows if not r[0]]
     model.weights, model.bias = learn_ftrl(train or rest, len(model.codes), len(languages))
     model.temperature = _temperature(model, rest)
@@ -193,15 +189,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value and shared.value.open()
-        _, letter = _letters()
         for batch in batches:
             langs, scores = [], []
             for text in batch.column("text"):
-                p = code_points(text.as_py() or "")
-                if own is None or not letter[p].any():
+                text = text.as_py() or ""
+                if own is None or not has_letter(text):
                     langs.append("und"), scores.append(0.0)
                     continue
-                s = own.scores(*own.vector(p))
+                s = own.scores(*own.vector(text))
                 k = int(s.argmax())
                 langs.append(own.languages[k]), scores.append(float(s[k]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
