@@ -1,6 +1,6 @@
 """Line dedup by content-defined chunks of lines.
 
-Lines get a hash; a rolling hash over ``SPAN`` line hashes ends a chunk where it
+Lines get a hash; a rolling hash over two line hashes ends a chunk where it
 is 0 modulo ``DIVISOR``, so boundaries move with the text. A chunk of two or more
 lines whose bytes occur more than once in the corpus is removed everywhere but in
 its first place (lowest doc_id, then lowest chunk).
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import schema_of, set_apart, written
 
-SPAN, DIVISOR, FACTOR = 2, 3, 31
+#: A boundary depends on a line and the one before it.
+DIVISOR, FACTOR = 3, 31
 
 
 def chunks(lines: list[bytes], divisor: int = DIVISOR) -> list[tuple[int, int]]:
@@ -54,11 +55,12 @@ def _chunk_rows(docs: DataFrame, with_bytes: bool) -> DataFrame:
                 text = text.as_py()
                 if text is None:
                     continue
-                lines = text.encode().split(b"\n")
+                raw = text.encode()
+                lines, tag = raw.split(b"\n"), md5(raw, usedforsecurity=False).digest() if doc_id is None else None
                 for k, (a, b) in enumerate(chunks(lines)):
                     if b - a > 1:
                         body = b"\n".join(lines[a:b])
-                        rows.append((doc_id, k, md5(body, usedforsecurity=False).digest(), *([body] if with_bytes else [])))
+                        rows.append((doc_id, tag, k, md5(body, usedforsecurity=False).digest(), *([body] if with_bytes else [])))
                         size += len(body)
                 if size > 8 << 20:
                     yield table(batch, rows)
@@ -67,27 +69,28 @@ def _chunk_rows(docs: DataFrame, with_bytes: bool) -> DataFrame:
                 yield table(batch, rows)
 
     def table(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [batch.column("doc_id").type, pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=False)], ["doc_id", "chunk", "key", "body"][: 3 + with_bytes])
+        kinds = [batch.column("doc_id").type, pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=False)], ["doc_id", "tag", "chunk", "key", "body"][: 4 + with_bytes])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, chunk int, key binary" + ", body binary" * with_bytes)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, tag binary, chunk int, key binary" + ", body binary" * with_bytes)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, chunk, original (bytes at the first place of the same key) of every chunk that stood before."""
+    """doc_id, tag (of the text, where the id is null: such rows are no group), chunk, original (bytes at the first place of the same key) of every chunk that stood before."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("chunk").alias("chunk"))
     keys = _chunk_rows(docs, True).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(place.alias("place"), F.col("body").alias("body"))).alias("first"))
     keys = written(keys.where("n > 1").select("key", F.col("first.place").alias("first"), F.col("first.body").alias("original")), "repeated")
-    held = _chunk_rows(docs, False).select("key", place.alias("place")).join(keys, "key")
-    return held.where(~F.col("place").eqNullSafe(F.col("first"))).select("place.doc_id", "place.chunk", "original")
+    held = _chunk_rows(docs, False).select("key", "tag", place.alias("place")).join(keys, "key")
+    return held.where(~F.col("place").eqNullSafe(F.col("first"))).select("place.doc_id", "tag", "place.chunk", "original")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, and _n_lines, _n_removed (lines; own columns of these names are replaced)."""
     names, docs = docs.columns, set_apart(docs, "doc_id", "text")
-    gone = repeated(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("chunk", "original")).alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    gone = repeated(docs).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("chunk", "original")).alias("_gone"))
+    tag = F.when(F.col("doc_id").isNull(), F.unhex(F.md5("text")))
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & tag.eqNullSafe(F.col("_tag")), "left").drop("_id", "_tag")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

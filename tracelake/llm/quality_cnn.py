@@ -32,6 +32,8 @@ from .common import labelled_sample, slices, utf8
 FILTERS, TAPS, STRIDE, CHUNK, HIDDEN = 16, 8, 2, 256, 16
 ECHO, REACH = 6, 512
 EACH, CHUNKS = 1500, 12
+#: A longer row is scored by itself, so many bytes at a time.
+LONG = 1 << 20
 
 
 def echo(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -108,6 +110,25 @@ def pool(net: Net, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.
     return both[keep[:-1]], np.concatenate([[0], np.cumsum(halves - 1)])
 
 
+def pool_long(net: Net, raw: np.ndarray, window: int) -> np.ndarray:
+    """The same for one long row of bytes, ``window`` halves of chunks at a time: memory does not grow with the row."""
+    half = CHUNK // 2
+    halves = max(2, -(-len(raw) // half))
+    best = []
+    for h in range(0, halves, window):
+        begin, end = h * half, min(h + window, halves) * half
+        # echoes look back REACH bytes, and a position reads TAPS bytes from its own on
+        first = max(0, begin - REACH - ECHO)
+        own = raw[first : end + TAPS + ECHO]
+        symbols = own.astype(np.int64) + 256 * echo(own, np.array([0, len(own)])).astype(np.int64)
+        x = np.full(end - begin + TAPS, 32, np.int64)
+        inside = symbols[begin - first : end - first + TAPS]
+        x[: len(inside)] = inside
+        best.append(net.convolve(x)[: (end - begin) // STRIDE].reshape(-1, half // STRIDE, FILTERS).max(axis=1))
+    a = np.concatenate(best)
+    return np.maximum(a[:-1], a[1:])
+
+
 def symbols_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, at = utf8(column)
     return raw.astype(np.int64) + 256 * echo(raw, at).astype(np.int64), at
@@ -116,6 +137,8 @@ def symbols_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def score_column(net: Net, column: pa.Array) -> list[float]:
     if net.constant is not None:
         return [net.constant] * len(column)
+    if len(column) == 1 and column.nbytes > LONG:
+        return [net.combine(net.chunk_scores(pool_long(net, utf8(column)[0], LONG // CHUNK)))]
     pooled, first = pool(net, *symbols_of(column))
     s = net.chunk_scores(pooled)
     return [net.combine(s[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
@@ -204,7 +227,7 @@ def predict(docs: DataFrame, net: Net) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=256 << 10):
+        for batch in slices(batches, most=256 << 10):  # a longer row comes alone
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score_column(shared.value, batch.column("text")), pa.float64())], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
