@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -76,3 +77,18 @@ def test_odd_rows(spark):
     assert sorted(map(str, out.collect())) == sorted(str(r) for r in docs.collect() if r.doc_id not in (1, 4, 6))
     assert decontamination.decontaminate(docs, bench.limit(0)).count() == docs.count()
     assert decontamination.report(none(spark), bench).count() == 0
+
+
+def test_many_items_that_share_one_window():
+    r = np.random.default_rng(3)
+    shared = " ".join(f"w{k}" for k in range(10))
+    more = lambda: " ".join(f"x{k}" for k in r.integers(0, 3, 4))
+    items = [(f"i{k}", f"{shared} {more()}") for k in range(2000)]
+    docs = [f"a b {shared} {more()}" for _ in range(3000)] + ["none of it"]
+    tests = decontamination.Tests(items)
+    begun = time.process_time()
+    got = decontamination._hits(pa.array(docs), tests)
+    assert time.process_time() - begun < 5
+    few = [0, 1, 2, 3000]
+    assert [(got[d][0], sum(s["end"] - s["begin"] for s in got[d][1]), got[d][2], got[d][3]) for d in few] == brute([docs[d] for d in few], items)
+    assert len(tests.size) <= 1 + 4 * 3**4 and len(got[0][2]) == 2000

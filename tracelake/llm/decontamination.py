@@ -1,12 +1,15 @@
 """Benchmark decontamination with suffix arrays over the training words.
 
-Each task builds suffix arrays over shards of its documents (word ids, prefix
-doubling to 16 words), binary-searches every suffix of every benchmark item in
-them, and so gets the places of each window of ``WINDOW`` words (a shorter item is
-one window) and the longest verbatim match. Documents stay where they are read:
-there is no shuffle. The benchmark goes to the tasks as a broadcast of at most
-``BENCHMARK_BYTES``; a larger one is cut into blocks by a hash of the item id and
-each block makes one more pass over the hits so far.
+The suffixes of all benchmark items are sorted once. Those that begin with the same window
+of ``WINDOW`` words (a shorter item is one window) stand side by side as a group, however
+many items share it. Each task builds suffix arrays over shards of its documents (word
+ids, prefix doubling to 16 words) and binary-searches every group in them, which gives
+the places of each window; each place then searches its group for the suffix that it
+follows longest, the longest verbatim match. So work grows with places and groups, not
+with pairs of places and items. Documents stay where they are read: there is no shuffle.
+The benchmark goes to the tasks as a broadcast of at most ``BENCHMARK_BYTES``; a larger one
+is cut into blocks by a hash of the item id and each block makes one more pass over the
+hits so far.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Words are
 compared by a 64-bit hash whose representatives are compared byte by byte in each
@@ -44,9 +47,45 @@ class Tests:
         first = words.first
         n = np.diff(first)
         self.item = np.repeat(np.arange(len(items)), n)
-        self.left = np.repeat(first[1:], n) - np.arange(len(words.key))  # words from here to the item's end
+        left = np.repeat(first[1:], n) - np.arange(len(words.key))  # words from here to the item's end
         size = np.minimum(n, WINDOW)[self.item] if len(self.item) else np.zeros(0, np.int64)
-        self.size = np.where(self.left >= size, size, 0)  # words of the window that begins here, or 0
+        size = np.where(left >= size, size, 0)  # words of the window that begins here, or 0
+        # ranks of words; a 0 behind each item keeps its suffixes inside it
+        self.words, rank = np.unique(words.key, return_inverse=True)
+        self.place = np.arange(len(words.key)) + self.item
+        self.ids = np.zeros(len(words.key) + len(items), np.int64)
+        self.ids[self.place] = rank + 1
+        depth = 1 << int(max(n.max(initial=1), 1) - 1).bit_length()
+        order = suffix_array(self.ids, max(depth, 1))
+        suffix = np.full(len(self.ids), -1, np.int64)
+        suffix[self.place] = np.arange(len(words.key))
+        order = suffix[order]
+        sorted_, start, width = [], [], []
+        for k in np.unique(size[size > 0]).tolist():
+            own = order[(order >= 0) & (np.where(order >= 0, size[order], 0) == k)]
+            fresh = np.zeros(len(own), bool)
+            fresh[:1] = True
+            for j in range(k):
+                at = self.ids[self.place[own] + j]
+                fresh[1:] |= at[1:] != at[:-1]
+            start.append(np.flatnonzero(fresh) + sum(map(len, sorted_)))
+            width.append(np.full(int(fresh.sum()), k))
+            sorted_.append(own)
+        join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        #: Suffixes by group and within it in order; where each group begins (one more than groups); words of its window.
+        self.sorted, self.size = join(sorted_), join(width)
+        self.start = np.append(join(start), len(self.sorted)).astype(np.int64)
+        #: Items of each group, in the order of their names.
+        by_name = np.argsort(np.argsort(np.array(self.names, object), kind="stable"), kind="stable") if self.names else np.zeros(0, np.int64)
+        self.items = [np.unique(by_name[self.item[self.sorted[a:b]]]) for a, b in zip(self.start[:-1], self.start[1:], strict=True)]
+        self.ordered = sorted(self.names)
+
+    def names_of(self, groups: tuple[int, ...], known: dict) -> list[str]:
+        """Sorted names of the items of some groups; ``known`` remembers them."""
+        if groups not in known:
+            own = self.items[groups[0]] if len(groups) == 1 else np.unique(np.concatenate([self.items[g] for g in groups]))
+            known[groups] = list(dict.fromkeys(self.ordered[k] for k in own))
+        return known[groups]
 
 
 def suffix_array(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -89,8 +128,8 @@ def _bound(order: np.ndarray, ids: np.ndarray, tests: np.ndarray, at: np.ndarray
         hi[open_[~right]] = mid[~right]
 
 
-def search(words: Words, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, size, suffix) of every occurrence of a window in the shard's words, and the longest match of each suffix there."""
+def search(words: Words, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, run, group) of every place of a window in the shard's words; ``run``: words of the longest match there."""
     n_docs = len(words.first) - 1
     # a 0 behind each document keeps matches inside it
     where = np.arange(len(words.key)) + np.repeat(np.arange(n_docs), np.diff(words.first))
@@ -98,72 +137,94 @@ def search(words: Words, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarr
     ids = np.zeros(len(words.key) + n_docs, np.int64)
     ids[where] = inverse + 1
     order = suffix_array(ids)
-    own = np.array([x in tests.vocabulary and tests.vocabulary[x] == words.word(k) for x, k in zip(vocabulary.tolist(), sample.tolist(), strict=True)], bool) if len(vocabulary) else np.zeros(0, bool)
-    found = np.searchsorted(vocabulary, tests.keys)
-    inside = np.minimum(found, max(len(vocabulary) - 1, 0))
-    known = (vocabulary[inside] == tests.keys) & own[inside] if len(vocabulary) else np.zeros(len(tests.keys), bool)
-    test_ids = np.where(known, inside + 1, len(vocabulary) + 1 + np.arange(len(tests.keys)))  # unknown words match nothing
-    at = np.flatnonzero(known)
-    length = np.minimum(tests.left[at], DEPTH)
-    longest = np.zeros(len(tests.keys), np.int64)
-    place = _bound(order, ids, test_ids, at, length, False)
-    for near in (place - 1, place):
-        ok = (near >= 0) & (near < len(order))
-        pos, run, live = order[np.clip(near, 0, max(len(order) - 1, 0))] if len(order) else near, np.zeros(len(at), np.int64), ok.copy()
-        for k in range(DEPTH):
-            live &= (k < length) & (pos + k < len(ids))
-            if not live.any():
-                break
-            j = np.flatnonzero(live)
-            live[j] = ids[pos[j] + k] == test_ids[at[j] + k]
-            run[live] += 1
-        longest[at] = np.maximum(longest[at], run)
-    at = np.flatnonzero(known & (tests.size > 0) & (longest >= tests.size))
-    lo, hi = (_bound(order, ids, test_ids, at, tests.size[at], u) for u in (False, True))
+    # words of the benchmark by their number here (hashes that are equal are compared byte by byte), and the other way round
+    own = np.array([x in tests.vocabulary and tests.vocabulary[x] == words.word(k) for x, k in zip(vocabulary.tolist(), sample.tolist(), strict=True)], bool)
+    found = np.minimum(np.searchsorted(vocabulary, tests.words), len(vocabulary) - 1)
+    known = (vocabulary[found] == tests.words) & own[found]
+    number = np.concatenate([[0], np.where(known, found + 1, len(vocabulary) + 1 + np.arange(len(tests.words)))])  # unknown words match nothing
+    test_ids = number[tests.ids]
+    rank = np.full(len(vocabulary) + 1, -1, np.int64)
+    rank[found[known] + 1] = np.flatnonzero(known) + 1
+    ranks = rank[ids]
+    # groups all of whose words stand in the shard
+    at = tests.place[tests.sorted[tests.start[:-1]]]
+    possible = np.ones(len(at), bool)
+    for k in range(WINDOW):
+        possible &= (k >= tests.size) | (test_ids[np.minimum(at + k, len(test_ids) - 1)] <= len(vocabulary))
+    groups = np.flatnonzero(possible)
+    lo, hi = (_bound(order, ids, test_ids, at[groups], tests.size[groups], u) for u in (False, True))
     n = hi - lo
-    suffix = np.repeat(at, n)
+    group = np.repeat(groups, n)
     begin = order[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    # how far each occurrence goes on beyond its window
-    run, live = tests.size[suffix].copy(), np.arange(len(suffix))
+    return np.searchsorted(where, begin), _longest(ranks, begin, group, tests), group  # places without the zeros
+
+
+def _common(ranks: np.ndarray, begin: np.ndarray, suffix: np.ndarray, size: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
+    """Words that the shard from ``begin`` and a benchmark suffix share beyond their window, with it, and whether the suffix stands before the place."""
+    run, less, live = size.copy(), np.zeros(len(begin), bool), np.arange(len(begin))
+    at = tests.place[suffix]
     while len(live):
         k = run[live]
-        live = live[(k < tests.left[suffix[live]]) & (begin[live] + k < len(ids))]
-        k = run[live]
-        live = live[ids[begin[live] + k] == test_ids[suffix[live] + k]]
+        here = np.where(begin[live] + k < len(ranks), ranks[np.minimum(begin[live] + k, len(ranks) - 1)], -1)
+        there = tests.ids[at[live] + k]
+        same = (here == there) & (there > 0)
+        less[live[~same]] = there[~same] < here[~same]
+        live = live[same]
         run[live] += 1
-    doc = np.searchsorted(where, begin)  # place without the zeros
-    return doc, run, suffix, longest
+    return run, less
+
+
+def _longest(ranks: np.ndarray, begin: np.ndarray, group: np.ndarray, tests: Tests) -> np.ndarray:
+    """The longest match of each place among its group's sorted suffixes: it is beside where the place itself would stand."""
+    size = tests.size[group]
+    first, last = tests.start[group], tests.start[group + 1]
+    lo, hi = first.copy(), last.copy()
+    while True:
+        open_ = np.flatnonzero(lo < hi)
+        if not len(open_):
+            break
+        mid = (lo[open_] + hi[open_]) // 2
+        _, less = _common(ranks, begin[open_], tests.sorted[mid], size[open_], tests)
+        lo[open_[less]] = mid[less] + 1
+        hi[open_[~less]] = mid[~less]
+    out = size.copy()
+    for near in (lo - 1, lo):
+        k = np.flatnonzero((near >= first) & (near < last))
+        run, _ = _common(ranks, begin[k], tests.sorted[near[k]], size[k], tests)
+        out[k] = np.maximum(out[k], run)
+    return out
 
 
 def _hits(column: pa.Array, tests: Tests) -> list[tuple]:
     """Of each row: words, hit spans, item names and the longest match."""
     words = Words(column)
     n_docs = len(column)
-    if not len(words.key) or not len(tests.keys):
+    if not len(words.key) or not len(tests.sorted):
         return [(int(n), [], [], 0) for n in np.diff(words.first)]
-    begin, run, suffix, _ = search(words, tests)
-    size = tests.size[suffix]
+    begin, run, group = search(words, tests)
+    size = tests.size[group]
     step = np.zeros(len(words.key) + 1, np.int64)
     np.add.at(step, begin, 1)
     np.add.at(step, begin + size, -1)
     hit = np.concatenate([[False], np.cumsum(step)[:-1] > 0, [False]])
     # a span also ends with its document
     doc_of = np.searchsorted(words.first, begin, "right") - 1
-    pairs = np.unique(doc_of * (len(tests.names) + 1) + tests.item[suffix]) if len(begin) else np.zeros(0, np.int64)
+    pairs = np.unique(doc_of * len(tests.size) + group)
     longest = np.zeros(n_docs, np.int64)
     np.maximum.at(longest, doc_of, run)
-    names: dict[int, set[str]] = {}
-    for d, i in zip((pairs // (len(tests.names) + 1)).tolist(), (pairs % (len(tests.names) + 1)).tolist(), strict=True):
-        names.setdefault(d, set()).add(tests.names[i])
-    out = []
+    groups: dict[int, list[int]] = {}
+    for d, g in zip((pairs // len(tests.size)).tolist(), (pairs % len(tests.size)).tolist(), strict=True):
+        groups.setdefault(d, []).append(g)
+    out, known = [], {}
     for d in range(n_docs):
         a, b = int(words.first[d]), int(words.first[d + 1])
-        spans: list = []
-        if d in names:
-            own = np.concatenate([[False], hit[a + 1 : b + 1], [False]])
-            edges = np.flatnonzero(own[1:] != own[:-1])
-            spans = [{"begin": int(x), "end": int(y)} for x, y in zip(edges[::2], edges[1::2], strict=True)]
-        out.append((b - a, spans, sorted(names.get(d, ())), int(longest[d])))
+        if d not in groups:
+            out.append((b - a, [], [], 0))
+            continue
+        own = np.concatenate([[False], hit[a + 1 : b + 1], [False]])
+        edges = np.flatnonzero(own[1:] != own[:-1])
+        spans = [{"begin": int(x), "end": int(y)} for x, y in zip(edges[::2], edges[1::2], strict=True)]
+        out.append((b - a, spans, tests.names_of(tuple(groups[d]), known), int(longest[d])))
     return out
 
 
@@ -189,10 +250,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", limit: in
     out = docs
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == b) if blocks > 1 else items
-        shared = spark.sparkContext.broadcast([(r["name"], r["body"]) for r in block.distinct().collect()])
+        # at most `limit` bytes of text, sorted here once
+        shared = spark.sparkContext.broadcast(Tests([(r["name"], r["body"]) for r in block.distinct().collect()]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=b > 0) -> Iterator[pa.RecordBatch]:
-            tests = Tests(shared.value)
+            tests = shared.value
             for batch in slices(batches, text):
                 found = _hits(batch.column(text), tests)
                 if again:
