@@ -67,11 +67,12 @@ def resolve_names(wanted: DataFrame, evidence: DataFrame, name: Column, known: C
 
 
 def resolve_in_order(wanted: DataFrame, evidence: DataFrame, names: Sequence[Column], known: Column, kind: Column, id_: str) -> DataFrame:
-    """The same with several spellings: the first that is known counts."""
-    out = wanted
-    for k, name in enumerate(names):
-        out = resolve_names(out, evidence, name, known, kind, id_).withColumnRenamed("resolved", f"_r{k}")
-    return out.withColumn("resolved", F.coalesce(*[F.col(f"_r{k}") for k in range(len(names))])).drop(*[f"_r{k}" for k in range(len(names))])
+    """The same with several spellings: the first that is known counts. One join over the distinct spellings of each list."""
+    best = evidence.withColumn("_name", known).where("_name <> ''").groupBy("_name").agg(F.max_by(F.col(id_), F.struct(kind, -F.col(id_))).alias("_id"))
+    out = wanted.withColumn("_names", F.array(*names))
+    lists = out.select("_names").distinct()
+    found = lists.select("_names", F.posexplode("_names").alias("_k", "_name")).join(best, "_name").groupBy("_names").agg(F.min_by("_id", "_k").alias("resolved"))
+    return out.join(found, "_names", "left").drop("_names")
 
 
 def by_display_name(left: DataFrame, right: DataFrame, left_name: Column, right_name: Column, right_id: str) -> DataFrame:

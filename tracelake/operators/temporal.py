@@ -3,8 +3,9 @@
 Every operator takes ``by`` (the key columns of a stream) and ``t`` (its clock);
 ``order`` breaks ties on the clock, the last one standing for the value. A sample
 whose value is null is a value, not a missing sample: values travel in a struct. Keys
-never mix, so work is dealt by key; ``bucket`` deals a hot key further, by parts of its
-time, and carries the last value of each part over to the next.
+never mix, so work is dealt by key. ``bucket``, a function of the clock that never falls
+(its day, say), deals a hot key further by parts of its time and carries what one part
+leaves over to the next: one row for each part, not for each sample.
 """
 
 from __future__ import annotations
@@ -22,6 +23,45 @@ def clock(t: Column) -> Column:
     return F.unix_micros(t.cast("timestamp"))
 
 
+Bucket = Callable[[Column], Column] | None
+
+
+def _parts(rows: DataFrame, t: str, bucket: Bucket) -> DataFrame:
+    return rows if bucket is None else rows.withColumn("_bucket", bucket(F.col(t)))
+
+
+def _reached(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str, bucket: Bucket, inclusive: bool = True, forward: bool = False) -> DataFrame:
+    """``rows`` with the last non-null ``value`` up to each (``forward``: the first one from it on) as ``name``; its own counts if ``inclusive``.
+
+    With a bucket rows have the column ``_bucket``, and both keep it.
+    """
+    pick = F.first if forward else F.last
+    span = (0 if inclusive else 1, _LAST) if forward else (_FIRST, 0 if inclusive else -1)
+    if bucket is None:
+        return rows.withColumn(name, pick(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(*span)))
+    inside = rows.withColumn(name, pick(value, ignorenulls=True).over(Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(*span)))
+    # one row for each part of a key's time: the value it leaves, and from those before (behind) it the value that enters
+    end = (F.min_by if forward else F.max_by)(value, F.when(value.isNotNull(), F.struct(*order)))
+    ends = rows.groupBy(*by, "_bucket").agg(end.alias("_end"))
+    carry = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(*((1, _LAST) if forward else (_FIRST, -1)))
+    ends = ends.withColumn("_enters", pick("_end", ignorenulls=True).over(carry)).drop("_end")
+    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (*by, "_bucket")]
+    joined = inside.alias("i").join(ends.alias("e"), same, "left")
+    return joined.select(*[F.col(f"i.{c}") for c in inside.columns if c != name], F.coalesce(f"i.{name}", "e._enters").alias(name))
+
+
+def _placed(rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str, bucket: Bucket) -> DataFrame:
+    """``rows`` numbered from 1 within their key."""
+    if bucket is None:
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    inside = rows.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)))
+    counts = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*by).orderBy("_bucket").rowsBetween(_FIRST, -1)))
+    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, "_bucket")]
+    place = (F.col("i._in") + F.coalesce("c._before", F.lit(0))).cast("int")
+    return inside.alias("i").join(counts.alias("c"), same, "left").select(*[F.col(f"i.{c}") for c in rows.columns], place.alias(name))
+
+
 def _both(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], order: Sequence[str], strict: bool) -> DataFrame:
     """Samples and probes as rows of one shape; at equal times samples stand first, or last if ``strict``."""
     row = probes.schema
@@ -30,54 +70,43 @@ def _both(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, valu
     return own.unionByName(asked, allowMissingColumns=True)
 
 
+_CLOCK = ("_t", "_side", "_order")
+
+
 def _answered(rows: DataFrame, value: Sequence[str], names: Sequence[str] | None) -> DataFrame:
     names = names or value
     return rows.select("_p.*", F.col("_hit").isNotNull().alias("matched"), *[F.col(f"_hit.{v}").alias(n) for v, n in zip(value, names, strict=True)])
 
 
-def asof(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], order: Sequence[str] = (), strict: bool = False, names: Sequence[str] | None = None, bucket: Callable[[Column], Column] | None = None) -> DataFrame:
+def asof(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], order: Sequence[str] = (), strict: bool = False, names: Sequence[str] | None = None, bucket: Bucket = None) -> DataFrame:
     """``probes`` with ``matched`` and the values of the last sample at or before (``strict``: before) each probe's time."""
-    order = order or [t]
-    rows = _both(probes, samples, by, t, value, order, strict)
-    if bucket is None:
-        w = Window.partitionBy(*by).orderBy("_t", "_side", "_order").rowsBetween(_FIRST, 0)
-        return _answered(rows.withColumn("_hit", F.last("_v", ignorenulls=True).over(w)).where("_p is not null"), value, names)
-    rows = rows.withColumn("_bucket", bucket(F.col("_t")))
-    w = Window.partitionBy(*by, "_bucket").orderBy("_t", "_side", "_order").rowsBetween(_FIRST, 0)
-    inside = rows.withColumn("_hit", F.last("_v", ignorenulls=True).over(w)).where("_p is not null")
-    # one row for each part of a key's time: its last value, and from it the value that enters the next part
-    ends = rows.groupBy(*by, "_bucket").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct("_t", "_order"))).alias("_end"))
-    carry = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(_FIRST, -1)
-    ends = ends.withColumn("_enters", F.last("_end", ignorenulls=True).over(carry)).drop("_end")
-    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (*by, "_bucket")]
-    joined = inside.alias("i").join(ends.alias("e"), same, "left").select("i._p", F.coalesce("i._hit", "e._enters").alias("_hit"))
-    return _answered(joined, value, names)
+    rows = _parts(_both(probes, samples, by, t, value, order or [t], strict), "_t", bucket)
+    return _answered(_reached(rows, by, _CLOCK, F.col("_v"), "_hit", bucket).where("_p is not null"), value, names)
 
 
-def asof_index(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, order: Sequence[str] = (), name: str = "active") -> DataFrame:
+def asof_index(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, order: Sequence[str] = (), name: str = "active", bucket: Bucket = None) -> DataFrame:
     """``probes`` with the 0-based place, within its key's samples, of the active one; -1 before the first."""
-    order = order or [t]
-    placed = samples.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(t, *order)) - 1)
-    return asof(probes, placed, by, t, ["_place"], ["_place"], names=[name]).withColumn(name, F.coalesce(name, F.lit(-1))).drop("matched")
+    placed = _placed(_parts(samples, t, bucket), by, [t, *(order or [t])], "_place", bucket).withColumn("_place", F.col("_place") - 1)
+    return asof(probes, placed, by, t, ["_place"], ["_place"], names=[name], bucket=bucket).withColumn(name, F.coalesce(name, F.lit(-1))).drop("matched")
 
 
-def nearest(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], within: float | Column, order: Sequence[str] = (), names: Sequence[str] | None = None, distance: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def nearest(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], within: float | Column, order: Sequence[str] = (), names: Sequence[str] | None = None, distance: Callable[[Column, Column], Column] | None = None, bucket: Bucket = None) -> DataFrame:
     """``probes`` with the values of the nearest sample not further than ``within``; the earlier one of two as near.
 
     Of the samples before a probe the last one counts, of those at or after it the first.
     """
     distance = distance or (lambda a, b: F.abs(a - b))
     order = order or [t]
-    rows = _both(probes, samples.withColumn("_at", F.col(t)), by, t, [*value, "_at"], order, True)
-    w = Window.partitionBy(*by).orderBy("_t", "_side", "_order")
-    rows = rows.withColumn("_b", F.last("_v", ignorenulls=True).over(w.rowsBetween(_FIRST, 0))).withColumn("_f", F.first("_v", ignorenulls=True).over(w.rowsBetween(0, _LAST))).where("_p is not null")
+    rows = _parts(_both(probes, samples.withColumn("_at", F.col(t)), by, t, [*value, "_at"], order, True), "_t", bucket)
+    rows = _reached(rows, by, _CLOCK, F.col("_v"), "_b", bucket)
+    rows = _reached(rows, by, _CLOCK, F.col("_v"), "_f", bucket, forward=True).where("_p is not null")
     back, forth = distance(F.col("_b._at"), F.col("_t")), distance(F.col("_f._at"), F.col("_t"))
     limit = within if isinstance(within, Column) else F.lit(within)
     hit = F.when((back <= limit) & (forth.isNull() | (back <= forth)), F.col("_b")).when(forth <= limit, F.col("_f"))
     return _answered(rows.withColumn("_hit", hit), value, names)
 
 
-def bounded_asof(events: DataFrame, samples: DataFrame, by: Sequence[str], t: str, tp: str, value: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def bounded_asof(events: DataFrame, samples: DataFrame, by: Sequence[str], t: str, tp: str, value: Sequence[str], order: Sequence[str] = (), bucket: Bucket = None) -> DataFrame:
     """``events`` with the values that held when each was handled, and ``ambiguous``.
 
     The sampler may run a little after the event in the same frame (equal ``t``), so a
@@ -92,7 +121,7 @@ def bounded_asof(events: DataFrame, samples: DataFrame, by: Sequence[str], t: st
     # as-of on (t, tp): the bound itself is excluded, a sample that stands on it is looked for apart
     bound = F.struct(F.col(t).alias("t"), F.col("_upto").alias("tp"))
     s = samples.withColumn("_clock", F.struct(F.col(t).alias("t"), F.col(tp).cast("double").alias("tp")))
-    found = asof(e.withColumn("_clock", bound), s, by, "_clock", value, order, strict=True)
+    found = asof(e.withColumn("_clock", bound), s, by, "_clock", value, order, strict=True, bucket=bucket and (lambda c: bucket(c["t"])))
     on = samples.select(*by, F.col(t).alias("_t2"), F.col(tp).cast("double").alias("_tp2")).distinct()
     same = [F.col(f"f.{c}").eqNullSafe(F.col(f"o.{c}")) for c in by]
     tied = found.alias("f").join(on.alias("o"), [*same, F.col(f"f.{t}") == F.col("o._t2"), F.col("f._next") == F.col("o._tp2")], "left")
@@ -115,48 +144,47 @@ def windowed_join(left: DataFrame, right: DataFrame, by: Sequence[str], t: str,
     return a.join(b, [a["_bin"] == b["_bin"], *[F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in by], near]).drop("_bin")
 
 
-def isolated(events: DataFrame, by: Sequence[str], t: str, seconds: float, order: Sequence[str] = ()) -> DataFrame:
+def isolated(events: DataFrame, by: Sequence[str], t: str, seconds: float, order: Sequence[str] = (), bucket: Bucket = None) -> DataFrame:
     """Events of which no other of the same key lies strictly within ``seconds``."""
-    w = Window.partitionBy(*by).orderBy(t, *order)
-    micros = clock(F.col(t))
-    gap = F.least(micros - F.lag(micros).over(w), F.lead(micros).over(w) - micros)
-    return events.withColumn("_gap", gap).where(F.col("_gap").isNull() | (F.col("_gap") >= int(seconds * 1_000_000))).drop("_gap")
+    micros, by_time = clock(F.col(t)), [t, *order]
+    rows = _reached(_parts(events, t, bucket), by, by_time, micros, "_b", bucket, inclusive=False)
+    rows = _reached(rows, by, by_time, micros, "_f", bucket, inclusive=False, forward=True)
+    gap = F.least(micros - F.col("_b"), F.col("_f") - micros)
+    return rows.withColumn("_gap", gap).where(F.col("_gap").isNull() | (F.col("_gap") >= int(seconds * 1_000_000))).select(*events.columns)
 
 
-def unless_seen_before(events: DataFrame, by: Sequence[str], t: str, wanted: Column, suppressor: Column, order: Sequence[str] = ()) -> DataFrame:
+def unless_seen_before(events: DataFrame, by: Sequence[str], t: str, wanted: Column, suppressor: Column, order: Sequence[str] = (), bucket: Bucket = None) -> DataFrame:
     """Events that are ``wanted`` and whose key had no ``suppressor`` event before."""
-    w = Window.partitionBy(*by).orderBy(t, *order).rowsBetween(_FIRST, -1)
-    seen = F.coalesce(F.max(suppressor.cast("int")).over(w), F.lit(0))
-    return events.withColumn("_seen", seen).where(wanted & (F.col("_seen") == 0)).drop("_seen")
+    seen = _reached(_parts(events, t, bucket), by, [t, *order], F.when(suppressor, 1), "_seen", bucket, inclusive=False)
+    return seen.where(wanted & F.col("_seen").isNull()).select(*events.columns)
 
 
-def changes(samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def changes(samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str], order: Sequence[str] = (), bucket: Bucket = None) -> DataFrame:
     """The samples whose value differs (null-safe) from the one before; the first of a key always."""
-    w = Window.partitionBy(*by).orderBy(t, *order)
     now = F.struct(*value)
-    return samples.withColumn("_before", F.lag(now).over(w)).withColumn("_n", F.row_number().over(w)).where((F.col("_n") == 1) | ~F.col("_before").eqNullSafe(now)).drop("_before", "_n")
+    rows = _reached(_parts(samples, t, bucket), by, [t, *order], now, "_before", bucket, inclusive=False)
+    return rows.where(~F.col("_before").eqNullSafe(now)).select(*samples.columns)
 
 
-def became_true(samples: DataFrame, by: Sequence[str], t: str, flag: Column, order: Sequence[str] = (), counts: Column | None = None) -> DataFrame:
+def became_true(samples: DataFrame, by: Sequence[str], t: str, flag: Column, order: Sequence[str] = (), counts: Column | None = None, bucket: Bucket = None) -> DataFrame:
     """Samples at which ``flag`` is true and was not true at the last one before; ``counts``: which samples count at all."""
     rows = samples if counts is None else samples.where(counts)
-    w = Window.partitionBy(*by).orderBy(t, *order)
-    own = F.coalesce(flag, F.lit(False))
-    return rows.withColumn("_now", own).withColumn("_was", F.coalesce(F.lag("_now").over(w), F.lit(False))).where("_now and not _was").drop("_now", "_was")
+    marked = _parts(rows.withColumn("_now", F.coalesce(flag, F.lit(False))), t, bucket)
+    seen = _reached(marked, by, [t, *order], F.col("_now"), "_was", bucket, inclusive=False)
+    return seen.where("_now and not coalesce(_was, false)").select(*rows.columns)
 
 
-def carried(rows: DataFrame, by: Sequence[str], t: str, value: Column, name: str, order: Sequence[str] = (), inclusive: bool = True) -> DataFrame:
+def carried(rows: DataFrame, by: Sequence[str], t: str, value: Column, name: str, order: Sequence[str] = (), inclusive: bool = True, bucket: Bucket = None) -> DataFrame:
     """``rows`` with the last non-null ``value`` up to each row (or, not ``inclusive``, before it)."""
-    w = Window.partitionBy(*by).orderBy(t, *order).rowsBetween(_FIRST, 0 if inclusive else -1)
-    return rows.withColumn(name, F.last(value, ignorenulls=True).over(w))
+    return _reached(_parts(rows, t, bucket), by, [t, *order], value, name, bucket, inclusive).select(*[c for c in rows.columns if c != name], name)
 
 
-def gaps(beats: DataFrame, by: Sequence[str], t: str, seconds: float, first: int = 10, order: Sequence[str] = ()) -> DataFrame:
+def gaps(beats: DataFrame, by: Sequence[str], t: str, seconds: float, first: int = 10, order: Sequence[str] = (), bucket: Bucket = None) -> DataFrame:
     """Heartbeats that are among the ``first`` of their key or come more than ``seconds`` after the one before (``gap``)."""
-    w = Window.partitionBy(*by).orderBy(t, *order)
     micros = clock(F.col(t))
-    gap = F.coalesce((micros - F.lag(micros).over(w)) / 1e6, F.lit(0.0))
-    return beats.withColumn("gap", gap).withColumn("beat", F.row_number().over(w)).where((F.col("beat") <= first) | (F.col("gap") > seconds))
+    rows = _reached(_parts(beats, t, bucket), by, [t, *order], micros, "_before", bucket, inclusive=False)
+    rows = _placed(rows, by, [t, *order], "beat", bucket).withColumn("gap", F.coalesce((micros - F.col("_before")) / 1e6, F.lit(0.0)))
+    return rows.where((F.col("beat") <= first) | (F.col("gap") > seconds)).select(*beats.columns, "gap", "beat")
 
 
 def state_at(samples: DataFrame, by: Sequence[str], t: str, at: Column, value: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

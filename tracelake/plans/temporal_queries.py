@@ -12,6 +12,11 @@ QUERIES = Family()
 _SQL_NIL = "CASE WHEN value >= 5 THEN value END"
 
 
+def _day(t):
+    """Parts of a hot user's time."""
+    return F.date_trunc("day", t)
+
+
 def _views(read):
     return read("events").where("event_type = 'view'").select("user_id", "ts", "event_id", F.expr("case when value >= 5 then value end").alias("v"))
 
@@ -30,7 +35,7 @@ FROM p ASOF LEFT JOIN s ON p.user_id = s.user_id AND p.ts {{op}} s.ts"""
 @QUERIES(_ASOF.format(op=">="))
 def asof_backward(read):
     """Dealt by user and day: a user with a third of all events is no hot group."""
-    return temporal.asof(_purchases(read), _views(read), ["user_id"], "ts", ["v", "event_id"], ["event_id"], names=["v", "sample_id"], bucket=lambda t: F.date_trunc("day", t))
+    return temporal.asof(_purchases(read), _views(read), ["user_id"], "ts", ["v", "event_id"], ["event_id"], names=["v", "sample_id"], bucket=_day)
 
 
 _TIED = """
@@ -46,7 +51,7 @@ def asof_strict(read):
     """The last view of an earlier hour: times tie, and equal ones don't count."""
     hour = F.date_trunc("hour", "ts")
     samples = read("events").where("event_type = 'view'").select("user_id", hour.alias("ts"), "event_id", F.col("value").alias("v"))
-    return temporal.asof(_purchases(read).withColumn("ts", hour), samples, ["user_id"], "ts", ["v", "event_id"], ["event_id"], strict=True, names=["v", "sample_id"])
+    return temporal.asof(_purchases(read).withColumn("ts", hour), samples, ["user_id"], "ts", ["v", "event_id"], ["event_id"], strict=True, names=["v", "sample_id"], bucket=_day)
 
 
 @QUERIES("""
@@ -54,7 +59,7 @@ WITH p AS (SELECT user_id, ts, event_id AS probe_id FROM events WHERE event_type
 s AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS place FROM events WHERE event_type = 'view')
 SELECT p.user_id, p.ts, probe_id, CAST(coalesce(s.place, -1) AS INT) AS active FROM p ASOF LEFT JOIN s ON p.user_id = s.user_id AND p.ts >= s.ts""")
 def asof_index(read):
-    return temporal.asof_index(_purchases(read), _views(read), ["user_id"], "ts", ["event_id"])
+    return temporal.asof_index(_purchases(read), _views(read), ["user_id"], "ts", ["event_id"], bucket=_day)
 
 
 @QUERIES(f"""
@@ -67,7 +72,7 @@ SELECT user_id, ts, probe_id, coalesce(back, false) OR coalesce(forth, false) AS
        CASE WHEN back THEN b_v WHEN forth THEN f_v END AS v, CASE WHEN back THEN b_id WHEN forth THEN f_id END AS sample_id FROM j""")
 def nearest_in_window(read):
     apart = lambda a, b: F.abs(temporal.clock(a) - temporal.clock(b))
-    return temporal.nearest(_purchases(read), _views(read), ["user_id"], "ts", ["v", "event_id"], 7_200_000_000, ["event_id"], ["v", "sample_id"], apart)
+    return temporal.nearest(_purchases(read), _views(read), ["user_id"], "ts", ["v", "event_id"], 7_200_000_000, ["event_id"], ["v", "sample_id"], apart, _day)
 
 
 @QUERIES("""
@@ -85,7 +90,7 @@ def bounded_asof(read):
     e = read("events").select("user_id", "event_id", (temporal.clock(F.date_trunc("hour", "ts")) / 1e6).alias("t"), (temporal.clock(F.col("ts")) / 1e6).alias("tp"), "event_type", "value")
     own = e.where("event_type = 'view'").withColumn("tp", F.col("tp") + 900).unionByName(e.where("event_type = 'click' and value > 20"))
     samples = own.select("user_id", "t", "tp", "event_id", F.col("value").alias("v"))
-    return temporal.bounded_asof(e.where("event_type = 'click'").select("user_id", "event_id", "t", "tp"), samples, ["user_id"], "t", "tp", ["v"], ["event_id"])
+    return temporal.bounded_asof(e.where("event_type = 'click'").select("user_id", "event_id", "t", "tp"), samples, ["user_id"], "t", "tp", ["v"], ["event_id"], lambda t: F.floor(t / 86400))
 
 
 @QUERIES("""
@@ -100,14 +105,14 @@ def windowed_event_join(read):
 WITH g AS (SELECT event_id, user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER w AS a, lead(epoch_us(ts)) OVER w - epoch_us(ts) AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, user_id, ts FROM g WHERE coalesce(least(a, b), 3600000000) >= 3600000000""")
 def isolated_events(read):
-    return temporal.isolated(read("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", 3600, ["event_id"])
+    return temporal.isolated(read("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", 3600, ["event_id"], _day)
 
 
 @QUERIES("""
 SELECT event_id, user_id, ts FROM events e WHERE event_type = 'purchase'
 AND NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = e.user_id AND s.event_type = 'error' AND (s.ts < e.ts OR (s.ts = e.ts AND s.event_id < e.event_id)))""")
 def prior_event_suppression(read):
-    out = temporal.unless_seen_before(read("events"), ["user_id"], "ts", F.col("event_type") == "purchase", F.col("event_type") == "error", ["event_id"])
+    out = temporal.unless_seen_before(read("events"), ["user_id"], "ts", F.col("event_type") == "purchase", F.col("event_type") == "error", ["event_id"], _day)
     return out.select("event_id", "user_id", "ts")
 
 
@@ -115,14 +120,14 @@ def prior_event_suppression(read):
 WITH g AS (SELECT *, lag(event_type) OVER w AS b, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, user_id, ts, event_type FROM g WHERE n = 1 OR b IS DISTINCT FROM event_type""")
 def change_only(read):
-    return temporal.changes(read("events").select("event_id", "user_id", "ts", "event_type"), ["user_id"], "ts", ["event_type"], ["event_id"])
+    return temporal.changes(read("events").select("event_id", "user_id", "ts", "event_type"), ["user_id"], "ts", ["event_type"], ["event_id"], _day)
 
 
 @QUERIES("""
 WITH g AS (SELECT *, value > 30 AS now, lag(value > 30) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events WHERE event_type <> 'view')
 SELECT event_id, user_id, ts, value FROM g WHERE now AND NOT coalesce(was, false)""")
 def false_true_transition(read):
-    out = temporal.became_true(read("events"), ["user_id"], "ts", F.col("value") > 30, ["event_id"], F.col("event_type") != "view")
+    out = temporal.became_true(read("events"), ["user_id"], "ts", F.col("value") > 30, ["event_id"], F.col("event_type") != "view", _day)
     return out.select("event_id", "user_id", "ts", "value")
 
 
@@ -132,8 +137,8 @@ SELECT event_id, user_id, ts, last_value(CASE WHEN event_type = 'signup' THEN ev
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def carry_forward(read):
     e = read("events").select("event_id", "user_id", "ts", "event_type", "value")
-    out = temporal.carried(e, ["user_id"], "ts", F.when(F.col("event_type") == "signup", F.col("event_id")), "header", ["event_id"])
-    out = temporal.carried(out, ["user_id"], "ts", F.when(F.col("event_type") == "error", F.col("value")), "last_error", ["event_id"], inclusive=False)
+    out = temporal.carried(e, ["user_id"], "ts", F.when(F.col("event_type") == "signup", F.col("event_id")), "header", ["event_id"], bucket=_day)
+    out = temporal.carried(out, ["user_id"], "ts", F.when(F.col("event_type") == "error", F.col("value")), "last_error", ["event_id"], inclusive=False, bucket=_day)
     return out.select("event_id", "user_id", "ts", "header", "last_error")
 
 
@@ -141,7 +146,7 @@ def carry_forward(read):
 WITH g AS (SELECT event_id, user_id, ts, coalesce((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6, 0.0) AS gap, row_number() OVER w AS beat FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, user_id, ts, CAST(gap AS DOUBLE) AS gap, CAST(beat AS INT) AS beat FROM g WHERE beat <= 10 OR gap > 21600""")
 def gap_detect(read):
-    return temporal.gaps(read("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", 21600, 10, ["event_id"])
+    return temporal.gaps(read("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", 21600, 10, ["event_id"], _day)
 
 
 @QUERIES("""
@@ -249,7 +254,7 @@ SELECT user_id, min(greatest(value, coalesce(last_level, value))) AS required FR
 WHERE level = 1 GROUP BY user_id""")
 def min_required(read):
     """At each other event the greater of its value and the last announced one; the least of a user."""
-    out = temporal.carried(read("events"), ["user_id"], "ts", F.when(F.col("event_type") == "signup", F.col("value")), "_last", ["event_id"], inclusive=False)
+    out = temporal.carried(read("events"), ["user_id"], "ts", F.when(F.col("event_type") == "signup", F.col("value")), "_last", ["event_id"], inclusive=False, bucket=_day)
     return out.where("event_type <> 'signup'").groupBy("user_id").agg(F.min(F.greatest("value", F.coalesce("_last", "value"))).alias("required"))
 
 
