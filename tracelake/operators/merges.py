@@ -147,3 +147,59 @@ def restricted_to(rows: DataFrame, by: Sequence[str], starter: str, team: str, f
     full = teams.join(starters, list(by)).where("n = _starters")
     other = full.where("against").select(*by, F.col(team).alias("_against"))
     return full.where("for").join(other, list(by)).where(F.col(team) != F.col("_against")).select(*by, team).distinct()
+
+
+def decided_rewards(rows: DataFrame, quest: str, side: str, turn: str, session: str, part: str, amount: str, source: str, presence: float = 0.5, share: float = 0.8, least: int = 2) -> DataFrame:
+    """The rewards (array of part, amount) of each quest, on which its sides agree.
+
+    ``rows`` are gains of turn-ins; ``source`` names the part that a gain spilled over
+    from, if any. A part needs ``presence`` of a side's turn-ins and ``least`` sessions, and
+    exactly one amount with ``least`` sessions and ``share`` of the part's. A part that only
+    spills over gets a quarter of its decided source, if ``share`` of its turn-ins name that
+    one. A quest that both sides handed in has rewards only where theirs are equal.
+    """
+    by = [quest, side]
+    total = rows.groupBy(*by).agg(F.count_distinct(turn).alias("_turns"))
+    own = rows.where(F.col(source).isNull())
+    parts = own.groupBy(*by, part).agg(F.count_distinct(turn).alias("_with"), F.count_distinct(session).alias("_all"))
+    amounts = own.groupBy(*by, part, amount).agg(F.count_distinct(session).alias("_sessions")).join(parts, [*by, part]).join(total, by)
+    fits = (F.col("_with") >= F.col("_turns") * presence) & (F.col("_all") >= least) & (F.col("_sessions") >= least) & (F.col("_sessions") >= F.col("_all") * share)
+    decided = amounts.where(fits).groupBy(*by, part).agg(F.min(amount).alias(amount), F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
+    spilt = rows.where(F.col(source).isNotNull())
+    each = spilt.groupBy(*by, part).agg(F.count_distinct(turn).alias("_with"), F.count_distinct(session).alias("_all"))
+    top = spilt.groupBy(*by, part, source).agg(F.count_distinct(turn).alias("_times")).groupBy(*by, part).agg(F.max(F.struct(F.col("_times"), (-F.col(source)).alias("_less"))).alias("_top"))
+    from_source = decided.select(*by, F.col(part).alias("_source"), F.col(amount).alias("_amount"))
+    spill = each.join(top, [*by, part]).join(total, by).withColumn("_source", -F.col("_top._less")).join(from_source, [*by, "_source"])
+    spill = spill.where((F.col("_with") >= F.col("_turns") * presence) & (F.col("_all") >= least) & (F.col("_top._times") >= F.col("_with") * share))
+    spill = spill.select(*by, part, (F.col("_amount") / 4).alias(amount)).join(decided.select(*by, part), [*by, part], "left_anti")
+    lists = decided.unionByName(spill).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(part, amount))).alias("rewards"))
+    sides = total.join(lists, by, "left").groupBy(quest).agg(F.count(F.lit(1)).alias("_sides"), F.count("rewards").alias("_lists"), F.count_distinct("rewards").alias("_kinds"), F.first("rewards", ignorenulls=True).alias("rewards"))
+    return sides.where("_kinds = 1 and (_sides = 1 or _lists = _sides)").select(quest, "rewards")
+
+
+def race_restrictions(starters: DataFrame, reactions: DataFrame, seen: DataFrame, least: int = 3) -> DataFrame:
+    """(quest, side) of quests that one side alone can take: ``starters(quest, npc)``, ``reactions(npc, side, friendly, session)``, ``seen(quest, side)``.
+
+    Every starter was hostile to the other side in ``least`` sessions and friendly to it in
+    none, friendly to this side and never hostile; this side saw the quest; the other saw
+    neither it nor another quest of its starters.
+    """
+    n = lambda c: F.count_distinct(F.when(c, F.col("session")))
+    each = reactions.groupBy("npc", "side").agg(n(~F.col("friendly")).alias("_hostile"), n(F.col("friendly")).alias("_kind"))
+    # a side that saw any quest of a starter saw this one or a sibling
+    met = starters.join(seen, "quest").select("npc", "side").distinct().withColumn("_met", F.lit(True))
+    sides = starters.select("quest", "npc", F.explode(F.array(F.lit("A"), F.lit("H"))).alias("side")).distinct()
+    facts = sides.join(each, ["npc", "side"], "left").join(met, ["npc", "side"], "left")
+    against = F.coalesce((F.col("_hostile") >= least) & (F.col("_kind") == 0), F.lit(False)) & F.col("_met").isNull()
+    kind = F.coalesce((F.col("_kind") > 0) & (F.col("_hostile") == 0), F.lit(False))
+    quests = facts.groupBy("quest", "side").agg(F.bool_and(against).alias("_against"), F.bool_and(kind).alias("_for"))
+    other = quests.where("_against").select("quest", F.when(F.col("side") == "A", "H").otherwise("A").alias("side"))
+    return quests.where("_for").join(other, ["quest", "side"]).join(seen.select("quest", "side").distinct(), ["quest", "side"], "left_semi").select("quest", "side")
+
+
+def of_latest_text(rows: DataFrame, by: Sequence[str], text: str, t: str, seen: Sequence[str]) -> DataFrame:
+    """Rows of an entity that have its latest text that is not blank (the first seen of equal times)."""
+    spoken = F.trim(F.col(text)) != ""
+    last = rows.where(spoken).groupBy(*by).agg(F.max(t).alias("_t"))
+    chosen = rows.where(spoken).join(last, [*by]).where(F.col(t) == F.col("_t")).groupBy(*by).agg(F.min_by(text, F.struct(*seen)).alias("_text"))
+    return rows.join(chosen, [*by]).where(F.col(text) == F.col("_text")).drop("_text")

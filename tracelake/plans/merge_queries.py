@@ -168,3 +168,55 @@ def preferred_stream(read):
     k = F.when(F.col("value") > 40, F.get_json_object("props", "$.k").cast("long"))
     d = read("events").where("event_type in ('view', 'click')").groupBy("user_id", F.col("event_type").alias("stream")).agg(F.array_sort(F.collect_set(k)).alias("ids"))
     return sets.preferred(d, ["user_id"], "stream", "ids", ["view", "click"])
+
+
+_GAINS = """g AS (SELECT o % 11 AS quest, CASE WHEN o % 22 < 11 THEN 'A' ELSE 'H' END AS side, o AS turn, o % 40 AS session, n % 3 AS faction,
+  CAST(CASE n % 3 WHEN 0 THEN CASE WHEN q < 48 THEN 40 + o % 11 * (CASE WHEN o % 11 = 4 AND o % 22 < 11 THEN 2 ELSE 1 END) ELSE 7 END WHEN 1 THEN 10 ELSE q END AS DOUBLE) AS amount, CASE WHEN n % 3 = 1 AND q < 46 THEN 0 END AS source
+  FROM (SELECT l_orderkey AS o, l_linenumber AS n, l_quantity AS q FROM lineitem WHERE l_linenumber < 4))"""
+
+
+@QUERIES(f"""WITH {_GAINS}, t AS (SELECT quest, side, count(DISTINCT turn) AS turns FROM g GROUP BY ALL),
+p AS (SELECT quest, side, faction, count(DISTINCT turn) AS w, count(DISTINCT session) AS s FROM g WHERE source IS NULL GROUP BY ALL),
+a AS (SELECT quest, side, faction, amount, count(DISTINCT session) AS n FROM g WHERE source IS NULL GROUP BY ALL),
+d AS (SELECT quest, side, faction, min(amount) AS amount FROM a JOIN p USING (quest, side, faction) JOIN t USING (quest, side) WHERE w >= turns * 0.5 AND s >= 2 AND n >= 2 AND n >= s * 0.8 GROUP BY ALL HAVING count(*) = 1),
+sp AS (SELECT quest, side, faction, count(DISTINCT turn) AS w, count(DISTINCT session) AS s FROM g WHERE source IS NOT NULL GROUP BY ALL),
+sc AS (SELECT quest, side, faction, source, count(DISTINCT turn) AS n FROM g WHERE source IS NOT NULL GROUP BY ALL), sx AS (SELECT *, row_number() OVER (PARTITION BY quest, side, faction ORDER BY n DESC, source) AS r FROM sc),
+x AS (SELECT sp.quest, sp.side, sp.faction, d.amount / 4 AS amount FROM sp JOIN sx USING (quest, side, faction) JOIN t USING (quest, side) JOIN d ON d.quest = sp.quest AND d.side = sp.side AND d.faction = sx.source
+  WHERE r = 1 AND sp.w >= turns * 0.5 AND sp.s >= 2 AND sx.n >= sp.w * 0.8 AND (sp.quest, sp.side, sp.faction) NOT IN (SELECT (quest, side, faction) FROM d)),
+r AS (SELECT quest, side, string_agg(faction || '=' || CAST(amount AS VARCHAR), ',' ORDER BY faction) AS rewards FROM (SELECT * FROM d UNION ALL SELECT * FROM x) GROUP BY ALL),
+y AS (SELECT t.quest, count(*) AS sides, count(rewards) AS lists, count(DISTINCT rewards) AS kinds, min(rewards) AS rewards FROM t LEFT JOIN r USING (quest, side) GROUP BY ALL)
+SELECT quest, rewards FROM y WHERE kinds = 1 AND (sides = 1 OR lists = sides)""")
+def reputation_by_side(read):
+    """Amounts by majority, spillover as a quarter of its source, and both sides of one mind."""
+    o, n, q = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")
+    first = 40 + o % 11 * F.when((o % 11 == 4) & (o % 22 < 11), 2).otherwise(1)
+    amount = F.when(n % 3 == 0, F.when(q < 48, first).otherwise(7)).when(n % 3 == 1, 10).otherwise(q).cast("double")
+    rows = read("lineitem").where("l_linenumber < 4").select((o % 11).alias("quest"), F.when(o % 22 < 11, "A").otherwise("H").alias("side"), o.alias("turn"), (o % 40).alias("session"), (n % 3).alias("faction"), amount.alias("amount"), F.when((n % 3 == 1) & (q < 46), 0).alias("source"))
+    out = merges.decided_rewards(rows, "quest", "side", "turn", "session", "faction", "amount", "source")
+    return out.select("quest", F.array_join(F.transform("rewards", lambda r: F.concat(r["faction"].cast("string"), F.lit("="), r["amount"].cast("string"))), ",").alias("rewards"))
+
+
+_RACES = """st AS (SELECT DISTINCT l_orderkey % 60 AS quest, l_suppkey AS npc FROM lineitem WHERE l_orderkey % 60 = l_suppkey % 60 OR l_orderkey % 1501 = 0), re AS (SELECT l_suppkey AS npc, side, (side = 'A') = (l_suppkey % 3 > 0) AND NOT (l_suppkey % 7 = 0 AND l_linenumber = 1) AS friendly, l_orderkey % 50 AS session FROM lineitem, (SELECT unnest(['A', 'H']) AS side) WHERE l_quantity > 25),
+se AS (SELECT DISTINCT l_orderkey % 60 AS quest, CASE WHEN l_orderkey % 60 % 3 > 0 OR l_orderkey % 60 % 5 = 0 THEN 'A' ELSE 'H' END AS side FROM lineitem WHERE l_orderkey % 4 < 2)"""
+
+
+@QUERIES(f"""WITH {_RACES}, e AS (SELECT npc, side, count(DISTINCT session) FILTER (WHERE NOT friendly) AS h, count(DISTINCT session) FILTER (WHERE friendly) AS k FROM re GROUP BY ALL), c AS (SELECT DISTINCT quest, side, CASE side WHEN 'A' THEN 'H' ELSE 'A' END AS other FROM se)
+SELECT quest, side FROM c WHERE quest IN (SELECT quest FROM st)
+AND NOT EXISTS (SELECT 1 FROM st WHERE st.quest = c.quest AND NOT EXISTS (SELECT 1 FROM e WHERE e.npc = st.npc AND e.side = c.side AND k > 0 AND h = 0))
+AND NOT EXISTS (SELECT 1 FROM st WHERE st.quest = c.quest AND NOT EXISTS (SELECT 1 FROM e WHERE e.npc = st.npc AND e.side = c.other AND k = 0 AND h >= 3))
+AND NOT EXISTS (SELECT 1 FROM st JOIN st s2 ON s2.npc = st.npc JOIN se ON se.quest = s2.quest WHERE st.quest = c.quest AND se.side = c.other)""")
+def race_restriction_siblings(read):
+    """The side that alone can take a quest, unless the other saw it or another quest of its starters."""
+    o, s = F.col("l_orderkey"), F.col("l_suppkey")
+    items = read("lineitem")
+    starters = items.where((o % 60 == s % 60) | (o % 1501 == 0)).select((o % 60).alias("quest"), s.alias("npc")).distinct()
+    two = items.where("l_quantity > 25").select(s.alias("npc"), F.explode(F.array(F.lit("A"), F.lit("H"))).alias("side"), "l_linenumber", (o % 50).alias("session"))
+    friendly = ((F.col("side") == "A") == (F.col("npc") % 3 > 0)) & ~((F.col("npc") % 7 == 0) & (F.col("l_linenumber") == 1))
+    seen = items.where(o % 4 < 2).select((o % 60).alias("quest")).distinct().withColumn("side", F.when((F.col("quest") % 3 > 0) | (F.col("quest") % 5 == 0), "A").otherwise("H"))
+    return merges.race_restrictions(starters, two.select("npc", "side", friendly.alias("friendly"), "session"), seen)
+
+
+@QUERIES("""WITH r AS (SELECT user_id, event_id, ts, CASE WHEN value < 10 THEN ' ' ELSE event_type END AS text, value FROM events), l AS (SELECT user_id, arg_max(text, row(ts, -event_id)) AS text FROM r WHERE trim(text) <> '' GROUP BY 1) SELECT r.* FROM r JOIN l USING (user_id, text)""")
+def latest_text(read):
+    rows = read("events").select("user_id", "event_id", "ts", F.when(F.col("value") < 10, " ").otherwise(F.col("event_type")).alias("text"), "value")
+    return merges.of_latest_text(rows, ["user_id"], "text", "ts", ["event_id"])
