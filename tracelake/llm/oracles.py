@@ -77,4 +77,31 @@ WITH {MIX.format(documents="documents")}
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, CAST(target AS DOUBLE) AS target,
        CAST(epochs AS BIGINT) AS epochs, copies, taken FROM mixed"""
 
-SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9}
+OP12 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM t),
+w AS (SELECT rid, lang, source, unnest(terms) AS term FROM t),
+vocab AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN vocab USING (lang, term) GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, vocab.term, coalesce(c.n, 0) AS n, vocab.n AS n_lang
+  FROM g JOIN vocab ON vocab.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = vocab.term),
+s AS (
+  SELECT lang, source, term, n,
+         1 + (CAST(n + 1 AS HUGEINT) * 1000000000) // CAST(sum(n) OVER own + count(*) OVER own AS HUGEINT) AS p,
+         1 + (CAST(n_lang + 1 AS HUGEINT) * 1000000000) // CAST(sum(n_lang) OVER own + count(*) OVER own AS HUGEINT) AS q
+  FROM dense WINDOW own AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
+SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9, "op12_divergence": OP12}
