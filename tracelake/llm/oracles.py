@@ -104,4 +104,32 @@ parts AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
 
-SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9, "op12_divergence": OP12}
+#: In a run of smallest period q equal stretches of 16 words follow one another at the distance q: islands of such pairs.
+#: Of periods of one stretch the smallest counts. crc32 is worked out bit by bit.
+OP11 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(4294967295, list_reduce([4294967295] || list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda v, b: list_reduce([xor(v, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM documents),
+g AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a FROM t),
+c AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+d AS (SELECT rid, doc_id, CAST(n AS BIGINT) AS n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM c),
+k AS (SELECT rid, unnest(range(n - 15)) AS i, unnest(list_transform(range(n - 15), lambda i: array_to_string(w[i + 1:i + 16], ' '))) AS gram FROM d WHERE n >= 24),
+e AS (SELECT x.rid, x.i, y.i - x.i AS q FROM k x JOIN k y ON x.rid = y.rid AND x.gram = y.gram AND x.i < y.i),
+j AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM e),
+s AS (SELECT rid, q, min(i) AS start, max(i) - min(i) + 16 + q AS length FROM j GROUP BY rid, q, island),
+r AS (SELECT rid, start, length, min(q) AS period FROM s WHERE length >= greatest(24, 3 * q) GROUP BY rid, start, length),
+b AS (SELECT r.*, row_number() OVER (PARTITION BY r.rid ORDER BY length * f // period DESC, start, period) AS place FROM r, (SELECT CAST(1000000000000 AS HUGEINT) AS f)),
+own AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text FROM (SELECT rid, unnest(range(n)) AS i, unnest(w) AS word FROM d WHERE rid IN (SELECT rid FROM r)) x
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.rid = x.rid AND gone.i = x.i) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(CASE WHEN n_runs > 0 THEN kept.text ELSE array_to_string(w, ' ') END, '')) AS collapsed_sha256
+FROM d LEFT JOIN own USING (rid) LEFT JOIN kept USING (rid) LEFT JOIN b ON b.rid = d.rid AND place = 1"""
+
+SQL: dict[str, str] = {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op9_mixing": OP9, "op11_periodic_runs": OP11, "op12_divergence": OP12}
