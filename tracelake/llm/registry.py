@@ -107,6 +107,16 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import context_tree
+
+    out = context_tree.score(_table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out("doc_id", 10, 0))
+    return out.select(
+        "doc_id", held_out("doc_id", 10, 0).alias("held_out"), F.col("_n_tokens").alias("n_tokens"), F.col("_n_known").alias("n_known"), F.col("_train_tokens").alias("train_tokens"),
+        F.col("_base").alias("base_score"), F.col("_log10").alias("score"), F.col("_bits_per_byte").alias("bits_per_byte"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
