@@ -74,3 +74,18 @@ def test_sets_at(spark):
 def test_set_changes(spark):
     d = spark.createDataFrame([("a", 1, [1, 2]), ("a", 2, [1, 2]), ("a", 3, [2, 5, 4]), ("a", 4, [])], "s string, t int, ids array<long>")
     assert [(r.t, r.added, r.removed) for r in sets.set_changes(d, ["s"], "t", "ids").orderBy("t").collect()] == [(1, [1, 2], []), (3, [4, 5], [1]), (4, [], [2, 4, 5])]
+
+
+def test_many_streams_in_one_pass_give_what_single_lookups_give(spark):
+    r = random.Random(7)
+    make = lambda n, name: spark.createDataFrame([(r.choice("ab"), float(r.randrange(30)), k, None if r.random() < 0.2 else f"{name}{k}") for k in range(n)], "sid string, t double, pos int, v string")
+    probes = spark.createDataFrame([(r.choice("abc"), float(r.randrange(35)), k) for k in range(60)], "sid string, t double, id int")
+    streams = {"x": make(40, "x"), "y": make(15, "y"), "z": make(3, "z")}
+    for strict in (False, True):
+        want = probes
+        for n, s in streams.items():
+            want = temporal.asof(want, s, ["sid"], "t", ["v"], ["pos"], strict, names=[n]).withColumnRenamed("matched", f"{n}_known")
+        want = sorted(str((x.id, *[(x[f"{n}_known"], x[n]) for n in streams])) for x in want.collect())
+        for bucket in (None, lambda t: F.floor(t / 7)):
+            got = temporal.asof_many(probes, streams, ["sid"], "t", ["pos"], strict, bucket)
+            assert sorted(str((x.id, *[(x[n] is not None, x[n] and x[n].v) for n in streams])) for x in got.collect()) == want

@@ -10,7 +10,7 @@ take them as ``events``; without them they do what samples alone allow (stated t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,12 @@ def at(rows: DataFrame, samples: DataFrame, name: str, by: Sequence[str] = ("sid
     return temporal.asof(rows, samples, list(by), "t", ["v"], ["pos"], strict, names=[name]).drop("matched")
 
 
+def at_many(rows: DataFrame, streams: Mapping[str, DataFrame], by: Sequence[str] = ("sid",), strict: bool = False) -> DataFrame:
+    """The same for several streams in one pass, each under its name."""
+    found = temporal.asof_many(rows, {n: s.select(*by, "t", "pos", "v") for n, s in streams.items()}, list(by), "t", ["pos"], strict)
+    return found.select(*rows.columns, *[F.col(f"{n}.v").alias(n) for n in streams])
+
+
 def number(v: Column) -> Column:
     return v.try_cast("double")
 
@@ -166,12 +172,15 @@ def places(samples: DataFrame, kind: str = "npc", most_distance: float = 30.0, e
     met = encounters(samples, kind).select("sid", "t", "id", "token")
     if events is not None and kind == "object":
         met = met.unionByName(object_loots(events, samples).select("sid", "t", "id", F.lit("loot").alias("token")))
-    rows = at(at(met, stream(samples, "C_Map.GetBestMapForUnit", "player"), "zone"), stream(samples, "C_Map.GetPlayerMapPosition", "player"), "position")
-    near = F.lit(True)
+    looked = {"zone": stream(samples, "C_Map.GetBestMapForUnit", "player"), "position": stream(samples, "C_Map.GetPlayerMapPosition", "player")}
+    near, ranged = F.lit(True), None
     if kind == "npc":
         checks = by_param(samples, "CheckInteractDistance", "_index", ("target",)).drop("_index")
         ranged = stream(samples, "TargetDistance").withColumn("v", (number(F.col("v")) <= most_distance).cast("string")).unionByName(checks)
-        rows = at(rows, ranged, "near").join(ranged.select("sid", F.lit(True).alias("_ranged")).distinct(), "sid", "left")
+        looked["near"] = ranged
+    rows = at_many(met, looked)
+    if ranged is not None:
+        rows = rows.join(ranged.select("sid", F.lit(True).alias("_ranged")).distinct(), "sid", "left")
         near = (F.col("token") != "target") | F.col("_ranged").isNull() | (F.col("near") == "true")
     coordinate = lambda c: text.percent(F.get_json_object("position", f"$.{c}").try_cast("double"))
     spot = F.struct(number(F.col("zone")).cast("long").alias("zone"), coordinate("x").alias("x"), coordinate("y").alias("y"))
@@ -205,7 +214,7 @@ def objective_counts(samples: DataFrame) -> DataFrame:
 def quest_names(samples: DataFrame) -> DataFrame:
     """Titles of the dialog; titles of the quest log only for quests that have no dialog title in the session."""
     locale = locales(samples)
-    dialog = at(at(quest_encounters(samples), stream(samples, "GetTitleText"), "title"), locale, "locale").where("locale is not null")
+    dialog = at_many(quest_encounters(samples), {"title": stream(samples, "GetTitleText"), "locale": locale}).where("locale is not null")
     spoken = _observation(dialog, F.col("id"), text.cleaned(F.col("title")), "high", F.col("locale"))
     log = by_param(samples, "C_QuestLog.GetTitleForQuestID", "quest").unionByName(by_param(samples, "C_QuestLog.GetInfo", "quest").withColumn("v", F.get_json_object("v", "$.title")))
     written = _observation(at(log, locale, "locale").where("locale is not null"), number(F.col("quest")), text.cleaned(F.col("v")), "high", F.col("locale"))
@@ -235,7 +244,7 @@ def quest_xp(samples: DataFrame) -> DataFrame:
     """Shown rewards with the quest and the player's level that held on the precise clock."""
     clock = lambda df: df.drop("t").withColumnRenamed("tp", "t")
     rewards = clock(stream(samples, "GetRewardXP")).withColumnRenamed("v", "xp")
-    rows = at(at(rewards, clock(stream(samples, "GetQuestID")), "quest"), clock(stream(samples, "UnitLevel", "player")), "level")
+    rows = at_many(rewards, {"quest": clock(stream(samples, "GetQuestID")), "level": clock(stream(samples, "UnitLevel", "player"))})
     found = rows.where((number(F.col("quest")) != 0) & (number(F.col("xp")) > 0))
     return _observation(found, number(F.col("quest")), F.struct(number(F.col("level")).cast("int").alias("level"), number(F.col("xp")).cast("long").alias("xp")))
 
@@ -261,8 +270,7 @@ def trigger_places(samples: DataFrame) -> DataFrame:
     lists = at(by_param(samples, "C_QuestLog.GetQuestObjectives", "quest"), locales(samples), "locale").where("coalesce(locale, 'enUS') = 'enUS'")
     each = lists.select("sid", "quest", "t", "pos", F.explode(F.from_json("v", "array<struct<type: string, text: string, finished: boolean>>")).alias("_o"))
     each = each.where("_o.type = 'event' and _o.finished is not null").withColumn("text", F.nullif(text.trimmed(F.col("_o.text")), F.lit(""))).where("text is not null")
-    rows = at(each, stream(samples, "C_Map.GetPlayerMapPosition", "player"), "position").where("position is not null")
-    rows = at(rows, stream(samples, "C_Map.GetBestMapForUnit", "player"), "zone").where("zone is not null")
+    rows = at_many(each, {"position": stream(samples, "C_Map.GetPlayerMapPosition", "player"), "zone": stream(samples, "C_Map.GetBestMapForUnit", "player")}).where("position is not null and zone is not null")
     done = temporal.became_true(rows, ["sid", "quest", "text"], "t", F.col("_o.finished"), ["pos"])
     coordinate = lambda c: text.percent(F.get_json_object("position", f"$.{c}").try_cast("double"))
     return _observation(done, number(F.col("quest")), F.struct("text", number(F.col("zone")).cast("long").alias("zone"), coordinate("x").alias("x"), coordinate("y").alias("y")))

@@ -10,7 +10,7 @@ leaves over to the next: one row for each part, not for each sample.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,6 +84,35 @@ def asof(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, value
     return _answered(_reached(rows, by, _CLOCK, F.col("_v"), "_hit", bucket).where("_p is not null"), value, names)
 
 
+def asof_many(probes: DataFrame, streams: Mapping[str, DataFrame], by: Sequence[str], t: str, order: Sequence[str] = (), strict: bool = False, bucket: Bucket = None) -> DataFrame:
+    """``probes`` with a column for each of ``streams``: its columns besides ``by``, ``t`` and ``order``, as a struct, of the last sample at or before (``strict``: before) each probe's time; null where there is none.
+
+    All streams are looked up in one union and one window: a row of a stream fills the column of
+    its own stream alone. Each stream is read once, however many of them there are.
+    """
+    order = order or [t]
+    values = {n: [c for c in df.columns if c not in (*by, t, *order)] or [t] for n, df in streams.items()}
+    kinds = {n: df.select(F.struct(*values[n]).alias("v")).schema["v"].dataType for n, df in streams.items()}
+
+    def row(df: DataFrame, side: int, key: Column, filled: str | None) -> DataFrame:
+        held = [(F.struct(*values[n]) if n == filled else F.lit(None)).cast(kinds[n]).alias(f"_v_{n}") for n in streams]
+        probe = (F.struct(*probes.columns) if filled is None else F.lit(None)).cast(probes.schema).alias("_p")
+        return df.select(*by, F.col(t).alias("_t"), F.lit(side).alias("_side"), key.alias("_order"), *held, probe)
+
+    none = F.lit(None).cast(next(iter(streams.values())).select(F.struct(*order).alias("o")).schema["o"].dataType)
+    rows = row(probes, int(not strict), none, None)
+    for n, df in streams.items():
+        rows = rows.unionByName(row(df, int(strict), F.struct(*order), n))
+    rows = _parts(rows, "_t", bucket)
+    if bucket is None:
+        span = Window.partitionBy(*by).orderBy(*_CLOCK).rowsBetween(_FIRST, 0)
+        rows = rows.select("_p", *[F.last(f"_v_{n}", ignorenulls=True).over(span).alias(n) for n in streams])
+    else:
+        for n in streams:
+            rows = _reached(rows, by, _CLOCK, F.col(f"_v_{n}"), n, bucket)
+    return rows.where("_p is not null").select("_p.*", *streams)
+
+
 def asof_index(probes: DataFrame, samples: DataFrame, by: Sequence[str], t: str, order: Sequence[str] = (), name: str = "active", bucket: Bucket = None) -> DataFrame:
     """``probes`` with the 0-based place, within its key's samples, of the active one; -1 before the first."""
     placed = _placed(_parts(samples, t, bucket), by, [t, *(order or [t])], "_place", bucket).withColumn("_place", F.col("_place") - 1)

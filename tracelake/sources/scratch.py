@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
@@ -16,3 +16,12 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         base = "file://" + tempfile.gettempdir() + "/tracelake"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, *partitioned: str) -> DataFrame:
+    """``df`` written to a new folder and read again: branches that share it read it instead of making it anew, and lost executors don't lose it."""
+    path = scratch(df.sparkSession)
+    df.write.partitionBy(*partitioned).parquet(path) if partitioned else df.write.parquet(path)
+    # columns of folders come last when read
+    own = [c for c in df.columns if c not in partitioned]
+    return df.sparkSession.read.schema(df.select(*own, *partitioned).schema).parquet(path)
