@@ -68,6 +68,15 @@ def pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield code << _U(8) | stream[here], row[k : k + PIECE]
 
 
+def narrow(n: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the greatest of them."""
+    return n.astype(np.min_scalar_type(int(n.max()))).tobytes()
+
+
+def wide(raw: bytes, many: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // many}").astype(np.int64)
+
+
 def words(text: bytes) -> Iterator[list[bytes]]:
     """The words of a text, about ``PIECE`` bytes at a time."""
     begin = 0
@@ -127,12 +136,12 @@ class _Slice:
         codes, n, shard = codes[order], n[order].astype(np.int64), shard[order]
         edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            yield _CODES, int(shard[a]), codes[a:b].tobytes(), n[a:b].tobytes()
+            yield _CODES, int(shard[a]), codes[a:b].tobytes(), narrow(n[a:b])
         dealt: dict[int, list[bytes]] = {}
         for w in self.words:
             dealt.setdefault(SHARDS + crc32(w) % SHARDS, []).append(w)
         for s, own in dealt.items():
-            yield _WORDS, s, b" ".join(own), np.array([self.words[w] for w in own], np.int64).tobytes()
+            yield _WORDS, s, b" ".join(own), narrow(np.array([self.words[w] for w in own], np.int64))
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
@@ -178,9 +187,9 @@ def _merged(asked: DataFrame) -> DataFrame:
         def out(shard: int, parts: list, own: dict) -> pa.RecordBatch:
             if shard < SHARDS:
                 codes, n = summed(*map(np.concatenate, zip(*parts, strict=True)))
-                row = (codes.tobytes(), n.tobytes(), 0, 0)
+                row = (codes.tobytes(), narrow(n), 0, 0)
             else:
-                row = (b" ".join(own), np.array(list(own.values()), np.int64).tobytes(), sum(own.values()), sum(n > 0 for n in own.values()))
+                row = (b" ".join(own), narrow(np.array(list(own.values()), np.int64)), sum(own.values()), sum(n > 0 for n in own.values()))
             return pa.RecordBatch.from_pydict({"_shard": pa.array([shard], pa.int32()), "_keys": pa.array([row[0]], pa.binary()), "_n": pa.array([row[1]], pa.binary()), "tokens": [row[2]], "different": [row[3]]})
 
         shard, parts, own, size = None, [], {}, 0
@@ -189,15 +198,16 @@ def _merged(asked: DataFrame) -> DataFrame:
                 if shard is not None:
                     yield out(shard, parts, own)
                 shard, parts, own, size = here, [], {}, 0
-            n = np.frombuffer(row["_n"], np.int64)
             if here < SHARDS:
-                parts.append((np.frombuffer(row["_keys"], _U), n))
-                size += len(n)
+                codes = np.frombuffer(row["_keys"], _U)
+                parts.append((codes, wide(row["_n"], len(codes))))
+                size += len(codes)
                 if len(parts) > 1 and size > 2 * len(parts[0][0]) + PIECE:
                     parts = [summed(*map(np.concatenate, zip(*parts, strict=True)))]
                     size = len(parts[0][0])
             else:
-                for w, c in zip(row["_keys"].split(b" "), n.tolist(), strict=True):
+                some = row["_keys"].split(b" ")
+                for w, c in zip(some, wide(row["_n"], len(some)).tolist(), strict=True):
                     own[w] = own.get(w, 0) + c
         if shard is not None:
             yield out(shard, parts, own)
@@ -339,7 +349,8 @@ def _top(counts: DataFrame) -> Top:
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, row in _by_shard(batches):
-            found = list(Tree(np.frombuffer(row["_keys"], _U), np.frombuffer(row["_n"], np.int64)).summary())
+            codes = np.frombuffer(row["_keys"], _U)
+            found = list(Tree(codes, wide(row["_n"], len(codes))).summary())
             yield pa.RecordBatch.from_pydict(dict(zip(("byte", "prefix", "total", "ones", "log"), zip(*found, strict=True), strict=True)))
 
     nodes = counts.where(F.col("_shard") < SHARDS).select("_shard", "_keys", "_n").mapInArrow(summarise, "byte bigint, prefix bigint, total bigint, ones bigint, log double")
@@ -353,21 +364,22 @@ def _answers(asked: DataFrame, counts: DataFrame, top: Top) -> DataFrame:
         shard, codes, log, own = None, None, None, {}
         for here, row in _by_shard(batches):
             if row["_slice"] < 0:  # the counts of a shard come before what is asked of it
-                shard, n = here, np.frombuffer(row["_n"], np.int64)
+                shard = here
                 if here < SHARDS:
                     codes = np.frombuffer(row["_keys"], _U)
-                    log = Tree(codes, n).log10(top)
+                    log = Tree(codes, wide(row["_n"], len(codes))).log10(top)
                 else:
-                    own = dict(zip(row["_keys"].split(b" "), n.tolist(), strict=True))
+                    some = row["_keys"].split(b" ")
+                    own = dict(zip(some, wide(row["_n"], len(some)).tolist(), strict=True))
                 continue
             assert here == shard, "a shard without counts"
             if here < SHARDS:
-                got = log[np.searchsorted(codes, np.frombuffer(row["_keys"], _U))]
+                got = log[np.searchsorted(codes, np.frombuffer(row["_keys"], _U))].tobytes()
             else:
-                got = np.array([own[w] for w in row["_keys"].split(b" ")], np.int64)
-            yield pa.RecordBatch.from_pydict({"_kind": pa.array([row["_kind"]], pa.int32()), "_slice": pa.array([row["_slice"]], pa.int64()), "_keys": pa.array([row["_keys"]], pa.binary()), "_n": pa.array([got.tobytes()], pa.binary())})
+                got = narrow(np.array([own[w] for w in row["_keys"].split(b" ")], np.int64))
+            yield pa.RecordBatch.from_pydict({"_kind": pa.array([row["_kind"]], pa.int32()), "_slice": pa.array([row["_slice"]], pa.int64()), "_keys": pa.array([row["_keys"]], pa.binary()), "_n": pa.array([got], pa.binary())})
 
-    every = counts.select("_shard", F.lit(-1).alias("_kind"), F.lit(-1).cast("long").alias("_slice"), "_keys", "_n").unionByName(asked.select("_shard", "_kind", "_slice", "_keys", "_n"))
+    every = counts.select("_shard", F.lit(-1).alias("_kind"), F.lit(-1).cast("long").alias("_slice"), "_keys", "_n").unionByName(asked.select("_shard", "_kind", "_slice", "_keys", F.lit(None).cast("binary").alias("_n")))
     return every.repartition("_shard").sortWithinPartitions("_shard", "_slice").mapInArrow(answer, "_kind int, _slice bigint, _keys binary, _n binary")
 
 
@@ -382,7 +394,8 @@ class _Answers:
             self.codes.append(np.frombuffer(keys, _U))
             self.log.append(np.frombuffer(n, np.float64))
         else:
-            self.words.update(zip(keys.split(b" "), np.frombuffer(n, np.int64).tolist(), strict=True))
+            some = keys.split(b" ")
+            self.words.update(zip(some, wide(n, len(some)).tolist(), strict=True))
 
     def of(self, text: pa.Array) -> list[np.ndarray]:
         """Tokens, known tokens, log10 by words and by contexts, bits a byte, of each row."""
