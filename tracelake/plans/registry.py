@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import emit_queries, merge_queries, observer_queries, relation_queries, scalar_queries, stored_queries, submission_queries, temporal_queries
+from . import emit_queries, field_queries, merge_queries, observer_queries, relation_queries, scalar_queries, stored_queries, submission_queries, temporal_queries
 
-_MODULES = (temporal_queries, merge_queries, relation_queries, scalar_queries, stored_queries, observer_queries, emit_queries, submission_queries)
+_MODULES = (temporal_queries, merge_queries, relation_queries, scalar_queries, stored_queries, observer_queries, emit_queries, submission_queries, field_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
