@@ -152,13 +152,21 @@ def bounds(read):
 
 
 @QUERIES("""WITH r AS (SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events)
-SELECT event_id, k % 3 <> 0 AS same, CASE WHEN k % 5 = 0 THEN 'nil' WHEN k % 5 = 1 THEN '(a, nil, ' || k || ')' WHEN k % 5 = 2 THEN '"word ' || repeat('x', 10) || '…' WHEN k % 5 = 3 THEN CAST(k AS VARCHAR) ELSE '{"id":' || k || '}' END AS shown FROM r""")
+SELECT event_id, k % 3 <> 0 AS same, CASE k % 8 WHEN 0 THEN 'nil' WHEN 1 THEN '("a", nil, ' || k || ')' WHEN 2 THEN '"word ' || repeat('x', 31) || '...' WHEN 3 THEN CAST(k AS VARCHAR) WHEN 4 THEN '{ id: ' || k || ' }'
+  WHEN 5 THEN '({ id: ' || k || ', name: "N" }, (), {})' WHEN 6 THEN '{ 2: true, 10: 0.5, b: "5" }' ELSE '(1, ("x", ' || k || '), nil)' END AS shown,
+  CASE k % 8 WHEN 1 THEN '"a", nil, ' || k WHEN 4 THEN '{"id":' || k || '}' WHEN 5 THEN '[{"id":' || k || ',"name":"N"},[],{}]' WHEN 6 THEN '{"b":"5","10":0.5,"2":true}' WHEN 7 THEN '1, [object Object], nil' ELSE '' END AS args FROM r""")
 def value_preview(read):
     k = F.get_json_object("props", "$.k").cast("long")
-    a = F.concat(F.lit('{"x": 1, "y": ['), k.cast("string"), F.lit("]}"))
+    n = k.cast("string")
+    a = F.concat(F.lit('{"x": 1, "y": ['), n, F.lit("]}"))
     b = F.concat(F.lit('{"y":['), F.when(k % 3 == 0, k + 1).otherwise(k).cast("string"), F.lit('],"x":1}'))
-    v = F.when(k % 5 == 0, None).when(k % 5 == 1, F.concat(F.lit('{"1":"a","3":'), k.cast("string"), F.lit(',"n":3}'))).when(k % 5 == 2, F.concat(F.lit("word "), F.repeat(F.lit("x"), 40))).when(k % 5 == 3, k.cast("string")).otherwise(F.concat(F.lit('{"id":'), k.cast("string"), F.lit("}")))
-    return read("events").select("event_id", shown.same_value(a, b).alias("same"), shown.preview(v, 16).alias("shown"))
+    kind = k % 8
+    v = (
+        F.when(kind == 0, None).when(kind == 1, F.concat(F.lit('{"1":"a","3":'), n, F.lit(',"n":3}'))).when(kind == 2, F.concat(F.lit("word "), F.repeat(F.lit("x"), 40))).when(kind == 3, n)
+        .when(kind == 4, F.concat(F.lit('{"id":'), n, F.lit("}"))).when(kind == 5, F.concat(F.lit('[{"id":'), n, F.lit(',"name":"N"},[],{}]'))).when(kind == 6, '{"b":"5","10":0.5,"2":true}')
+        .otherwise(F.concat(F.lit('{"1":1.0,"2":{"1":"x","2":'), n, F.lit(',"n":2},"n":3}')))
+    )
+    return read("events").select("event_id", shown.same_value(a, b).alias("same"), shown.preview(v).alias("shown"), shown.arguments(v).alias("args"))
 
 
 @QUERIES("""WITH r AS (SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events) SELECT event_id, 'icon ' || k AS icon, CASE WHEN k % 2 = 0 THEN 'Item' END AS name, CAST(k AS VARCHAR) AS quantity FROM r""")
@@ -170,12 +178,16 @@ def arg_labels(read):
     return read("events").select("event_id", named.alias("m")).select("event_id", *[F.col("m")[n].alias(n) for n in ("icon", "name", "quantity")])
 
 
-@QUERIES("""WITH r AS (SELECT o_orderkey, CAST(floor(o_totalprice * (1 + o_orderkey % 4 * 300)) AS BIGINT) AS n FROM orders), s AS (SELECT *, floor(n / 1000.0 + 0.5) AS sec, floor(floor(n / 1000.0 + 0.5) / 60 + 0.5) AS mins FROM r)
-SELECT o_orderkey, CASE WHEN n < 1000 THEN n || 'ms' WHEN n < 60000 THEN printf('%.1fs', floor(n / 100.0 + 0.5) / 10) WHEN sec < 3600 THEN printf('%dm %ds', CAST(floor(sec / 60) AS BIGINT), CAST(sec AS BIGINT) % 60) ELSE printf('%dh %02dm', CAST(floor(mins / 60) AS BIGINT), CAST(mins AS BIGINT) % 60) END AS took,
- CASE WHEN n < 1000000 THEN n || ' B' ELSE printf('%.1f MB', floor(n / 100000.0 + 0.5) / 10) END AS size FROM s WHERE n % 1000 <> 50""")
+_FIXED = "(CAST({x} * 4503599627370496 AS HUGEINT) * 20 + 4503599627370496) // 9007199254740992"
+
+
+@QUERIES(f"""WITH r AS (SELECT o_orderkey, CAST(floor(o_totalprice * (1 + o_orderkey % 4 * 300)) AS BIGINT) AS n FROM orders), s AS (SELECT *, floor(n / 1000.0 + 0.5) AS sec, floor(floor(n / 1000.0 + 0.5) / 60 + 0.5) AS mins,
+  {_FIXED.format(x="(CASE WHEN n < 60000 THEN CAST(n AS DOUBLE) / 1000 ELSE 0 END)")} AS tenths, {_FIXED.format(x="(CASE WHEN n < 1000000000 THEN CAST(n AS DOUBLE) / 1000000 ELSE 0 END)")} AS mega FROM r)
+SELECT o_orderkey, CASE WHEN n < 1000 THEN n || 'ms' WHEN n < 60000 THEN tenths // 10 || '.' || tenths % 10 || 's' WHEN sec < 3600 THEN printf('%dm %02ds', CAST(floor(sec / 60) AS BIGINT), CAST(sec AS BIGINT) % 60) ELSE printf('%dh %02dm', CAST(floor(mins / 60) AS BIGINT), CAST(mins AS BIGINT) % 60) END AS took,
+ CASE WHEN n < 1000000 THEN n || ' B' ELSE mega // 10 || '.' || mega % 10 || ' MB' END AS size FROM s""")
 def duration_and_size(read):
     n = F.floor(F.col("o_totalprice") * (1 + F.col("o_orderkey") % 4 * 300)).cast("long")
-    return read("orders").select("o_orderkey", n.alias("n")).where("n % 1000 <> 50").select("o_orderkey", shown.duration(F.col("n")).alias("took"), shown.size(F.col("n")).alias("size"))
+    return read("orders").select("o_orderkey", n.alias("n")).select("o_orderkey", shown.duration(F.col("n")).alias("took"), shown.size(F.col("n")).alias("size"))
 
 
 _CRAFT = ("You create %s.", "%s creates %s.", "%2$s was made by %1$s!")
