@@ -42,7 +42,7 @@ from .common import _LOWER, mix, schema_of, set_apart, slices, utf8, written
 
 DEPTH = 5
 #: Text bytes of a slice, bytes handled at once, and shards of codes (and of words).
-SLICE, PIECE, SHARDS = 32 << 20, 4 << 20, 1024
+SLICE, PIECE, SHARDS = 32 << 20, 2 << 20, 1024
 END = 0xFF
 _DOC, _CODES, _WORDS = 0, 1, 2
 _ASKED = "_kind int, _slice bigint, _shard int, _keys binary, _n binary"
@@ -77,6 +77,17 @@ def wide(raw: bytes, many: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{len(raw) // many}").astype(np.int64)
 
 
+def short(codes: np.ndarray) -> bytes:
+    """Codes without the bytes that none of them uses."""
+    return codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : DEPTH + 1].tobytes()
+
+
+def whole(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // (DEPTH + 1), 8), np.uint8)
+    out[:, : DEPTH + 1] = np.frombuffer(raw, np.uint8).reshape(-1, DEPTH + 1)
+    return out.view("<u8").ravel()
+
+
 def words(text: bytes) -> Iterator[list[bytes]]:
     """The words of a text, about ``PIECE`` bytes at a time."""
     begin = 0
@@ -136,7 +147,7 @@ class _Slice:
         codes, n, shard = codes[order], n[order].astype(np.int64), shard[order]
         edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            yield _CODES, int(shard[a]), codes[a:b].tobytes(), narrow(n[a:b])
+            yield _CODES, int(shard[a]), short(codes[a:b]), narrow(n[a:b])
         dealt: dict[int, list[bytes]] = {}
         for w in self.words:
             dealt.setdefault(SHARDS + crc32(w) % SHARDS, []).append(w)
@@ -187,7 +198,7 @@ def _merged(asked: DataFrame) -> DataFrame:
         def out(shard: int, parts: list, own: dict) -> pa.RecordBatch:
             if shard < SHARDS:
                 codes, n = summed(*map(np.concatenate, zip(*parts, strict=True)))
-                row = (codes.tobytes(), narrow(n), 0, 0)
+                row = (short(codes), narrow(n), 0, 0)
             else:
                 row = (b" ".join(own), narrow(np.array(list(own.values()), np.int64)), sum(own.values()), sum(n > 0 for n in own.values()))
             return pa.RecordBatch.from_pydict({"_shard": pa.array([shard], pa.int32()), "_keys": pa.array([row[0]], pa.binary()), "_n": pa.array([row[1]], pa.binary()), "tokens": [row[2]], "different": [row[3]]})
@@ -199,7 +210,7 @@ def _merged(asked: DataFrame) -> DataFrame:
                     yield out(shard, parts, own)
                 shard, parts, own, size = here, [], {}, 0
             if here < SHARDS:
-                codes = np.frombuffer(row["_keys"], _U)
+                codes = whole(row["_keys"])
                 parts.append((codes, wide(row["_n"], len(codes))))
                 size += len(codes)
                 if len(parts) > 1 and size > 2 * len(parts[0][0]) + PIECE:
@@ -349,7 +360,7 @@ def _top(counts: DataFrame) -> Top:
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, row in _by_shard(batches):
-            codes = np.frombuffer(row["_keys"], _U)
+            codes = whole(row["_keys"])
             found = list(Tree(codes, wide(row["_n"], len(codes))).summary())
             yield pa.RecordBatch.from_pydict(dict(zip(("byte", "prefix", "total", "ones", "log"), zip(*found, strict=True), strict=True)))
 
@@ -366,7 +377,7 @@ def _answers(asked: DataFrame, counts: DataFrame, top: Top) -> DataFrame:
             if row["_slice"] < 0:  # the counts of a shard come before what is asked of it
                 shard = here
                 if here < SHARDS:
-                    codes = np.frombuffer(row["_keys"], _U)
+                    codes = whole(row["_keys"])
                     log = Tree(codes, wide(row["_n"], len(codes))).log10(top)
                 else:
                     some = row["_keys"].split(b" ")
@@ -374,7 +385,7 @@ def _answers(asked: DataFrame, counts: DataFrame, top: Top) -> DataFrame:
                 continue
             assert here == shard, "a shard without counts"
             if here < SHARDS:
-                got = log[np.searchsorted(codes, np.frombuffer(row["_keys"], _U))].tobytes()
+                got = log[np.searchsorted(codes, whole(row["_keys"]))].tobytes()
             else:
                 got = narrow(np.array([own[w] for w in row["_keys"].split(b" ")], np.int64))
             yield pa.RecordBatch.from_pydict({"_kind": pa.array([row["_kind"]], pa.int32()), "_slice": pa.array([row["_slice"]], pa.int64()), "_keys": pa.array([row["_keys"]], pa.binary()), "_n": pa.array([got], pa.binary())})
@@ -391,7 +402,7 @@ class _Answers:
 
     def take(self, kind: int, keys: bytes, n: bytes) -> None:
         if kind == _CODES:
-            self.codes.append(np.frombuffer(keys, _U))
+            self.codes.append(whole(keys))
             self.log.append(np.frombuffer(n, np.float64))
         else:
             some = keys.split(b" ")
