@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import spatial
 from ..sources.scratch import scratch
-from ..sources.store import Store
+from ..sources.store import Store, update
 from ..streaming import changes as streams
 from .query import Family
 
@@ -68,19 +70,56 @@ o AS (SELECT w.submission, coalesce(CAST(key AS VARCHAR), w.submission || '#0')
 SELECT entity, value, 3 AS confidence, count(*) AS n, max(t) AS latest_t, count(DISTINCT session) FILTER (WHERE at_time IS NOT NULL) AS timed_sessions, max(at_time) AS newest_session FROM o GROUP BY entity, value"""
 
 
-@QUERIES(_STORE)
-def store_summary(read):
-    """Orders stored in two batches, a fifth of them removed again, summarised from the newest copies."""
+def _submission(c: str):
+    return F.lpad(F.col(c).cast("string"), 12, "0").alias("submission")
+
+
+def _observe(read, orders: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, observations and submissions of orders: what a batch of the store is made of."""
+    key, none = F.expr("nullif(o_custkey % 70, 0)"), F.lit(None).cast("string")
+    sessions = orders.select(_submission("o_orderkey"), F.lit(0).alias("idx"), key.cast("string").alias("session_key"), F.lit(False).alias("duplicate"), none.alias("contributor"), F.when(key % 2 == 0, F.col("o_totalprice")).alias("session_time"), none.alias("error"))
+    items = read("lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    observations = items.select(_submission("l_orderkey"), F.lit(0).alias("idx"), F.lit("scalar").alias("kind"), F.lit(0).alias("pos"), F.lit("flag").alias("field"), F.col("l_linenumber").alias("seq"), F.col("l_suppkey").alias("entity"), none.alias("locale"), F.lit("high").alias("confidence"), F.col("l_quantity").alias("t"), F.col("l_returnflag").alias("value"), none.alias("token"), none.alias("extra"))
+    return sessions, observations, orders.select(_submission("o_orderkey"), none.alias("error"))
+
+
+def _stored(read) -> Store:
+    """Orders in two batches, a fifth of them removed again."""
     orders, spark = read("orders"), read("orders").sparkSession
     store = Store(spark, scratch(spark), "v1")
-    submission = lambda c: F.lpad(F.col(c).cast("string"), 12, "0").alias("submission")
-    key = F.expr("nullif(o_custkey % 70, 0)")
     for part in (0, 1):
-        own = orders.where(F.col("o_orderkey") % 2 == part)
-        sessions = own.select(submission("o_orderkey"), F.lit(0).alias("idx"), key.cast("string").alias("session_key"), F.lit(False).alias("duplicate"), F.lit(None).cast("string").alias("contributor"), F.when(key % 2 == 0, F.col("o_totalprice")).alias("session_time"), F.lit(None).cast("string").alias("error"))
-        items = read("lineitem").where(F.col("l_orderkey") % 2 == part)
-        none = F.lit(None).cast("string")
-        observations = items.select(submission("l_orderkey"), F.lit(0).alias("idx"), F.lit("scalar").alias("kind"), F.lit(0).alias("pos"), F.lit("flag").alias("field"), F.col("l_linenumber").alias("seq"), F.col("l_suppkey").alias("entity"), none.alias("locale"), F.lit("high").alias("confidence"), F.col("l_quantity").alias("t"), F.col("l_returnflag").alias("value"), none.alias("token"), none.alias("extra"))
-        store.append(sessions, observations, own.select(submission("o_orderkey"), none.alias("error")))
-    store.forget(orders.where("o_orderkey % 5 = 3").select(submission("o_orderkey")))
-    return store.scalar_summary().select("entity", "value", "confidence", "n", "latest_t", "timed_sessions", "newest_session")
+        store.append(*_observe(read, orders.where(F.col("o_orderkey") % 2 == part)))
+    store.forget(orders.where("o_orderkey % 5 = 3").select(_submission("o_orderkey")))
+    return store
+
+
+_SUMMED = ("entity", "value", "confidence", "n", "latest_t", "timed_sessions", "newest_session")
+
+
+@QUERIES(_STORE)
+def store_summary(read):
+    """Summarised from the newest copies."""
+    return _stored(read).scalar_summary().select(*_SUMMED)
+
+
+@QUERIES(_STORE)
+def store_updates(read):
+    """The same state reached by three incremental runs: a third of the orders, all of them, all but the removed ones."""
+    orders, spark = read("orders").withColumn("submission", _submission("o_orderkey")), read("orders").sparkSession
+    store = Store(spark, scratch(spark), "v1")
+    for listed in (orders.where("o_orderkey % 3 = 0"), orders, orders.where("o_orderkey % 5 <> 3")):
+        update(store, listed, lambda todo: _observe(read, todo))
+    return store.scalar_summary().select(*_SUMMED)
+
+
+@QUERIES(f"""WITH {_STORE.split('o AS (')[0].strip().removeprefix('WITH ').rstrip(',')} SELECT w.submission, l_linenumber AS seq, l_suppkey AS entity, l_returnflag AS value FROM w JOIN lineitem ON l_orderkey = o_orderkey WHERE w.submission BETWEEN '000000000100' AND '000000000399'""")
+def store_key_range(read):
+    """Observations of a range of submissions, from the batches and files that can hold them."""
+    return _stored(read).observations(between=("000000000100", "000000000399")).select("submission", "seq", "entity", "value")
+
+
+@QUERIES(f"""WITH {_STORE.split('o AS (')[0].strip().removeprefix('WITH ').rstrip(',')} SELECT w.submission, l_linenumber AS seq, l_suppkey AS entity, l_returnflag AS value FROM w JOIN lineitem ON l_orderkey = o_orderkey""")
+def store_replay(read):
+    """All observations of the newest copies, put together from the slices of a replay."""
+    slices = list(_stored(read).replay(rows=read("lineitem").count() // 6))
+    return reduce(DataFrame.unionByName, slices).select("submission", "seq", "entity", "value")
