@@ -89,3 +89,20 @@ def test_many_streams_in_one_pass_give_what_single_lookups_give(spark):
         for bucket in (None, lambda t: F.floor(t / 7)):
             got = temporal.asof_many(probes, streams, ["sid"], "t", ["pos"], strict, bucket)
             assert sorted(str((x.id, *[(x[n] is not None, x[n] and x[n].v) for n in streams])) for x in got.collect()) == want
+
+
+def test_cooldown_takes_what_a_loop_takes(spark):
+    r = random.Random(11)
+    rows = [(r.choice("ab") if r.random() < 0.9 else None, float(r.randrange(120)) / 2, k) for k in range(250)] + [("once", 1.0, 999)]
+    df = spark.createDataFrame(rows, "sid string, t double, pos int")
+    for gap in (0.5, 3.0, 100.0):
+        want = []
+        for key in {x[0] for x in rows}:
+            last = None
+            for x in sorted((x for x in rows if x[0] == key), key=lambda x: x[1:]):
+                if last is None or x[1] >= last + gap:
+                    want.append(x)
+                    last = x[1]
+        for bucket in (None, lambda t: F.floor(t / 10)):
+            assert sorted(map(tuple, temporal.cooled(df, ["sid"], "t", gap, ["pos"], bucket).collect()), key=str) == sorted(want, key=str)
+    assert temporal.cooled(df.limit(0), ["sid"], "t", 1.0, ["pos"]).count() == 0

@@ -83,10 +83,13 @@ def slot_mode(rows: DataFrame, by: Sequence[str], slot: str, id_: str, session:
 
 def weighted_mode(rows: DataFrame, by: Sequence[str], value: str, weight: Column, seen: Sequence[str], exclusive: Column | None = None) -> DataFrame:
     """The value with the greatest sum of weights, first seen of equals; where an entity has ``exclusive`` rows only those count."""
-    if exclusive is not None:
-        own = Window.partitionBy(*by)
-        rows = rows.withColumn("_own", exclusive).withColumn("_any", F.max(F.col("_own").cast("int")).over(own)).where("_own or _any = 0")
-    n = rows.groupBy(*by, value).agg(F.sum(weight).alias("weight"), F.min(F.struct(*seen)).alias("_seen"))
+    own = F.lit(True) if exclusive is None else F.coalesce(exclusive, F.lit(False))
+    place = F.struct(*seen)
+    # both sums of each value first: the window that knows of exclusive rows runs over values, not rows
+    n = rows.groupBy(*by, value).agg(F.sum(weight).alias("_all"), F.min(place).alias("_all_seen"), F.sum(F.when(own, weight)).alias("_own"), F.min(F.when(own, place)).alias("_own_seen"), F.max(own.cast("int")).alias("_is"))
+    n = n.withColumn("_any", F.max("_is").over(Window.partitionBy(*by))).where("_is = 1 or _any = 0")
+    chosen = F.col("_any") == 1
+    n = n.select(*by, value, F.when(chosen, F.col("_own")).otherwise(F.col("_all")).alias("weight"), F.when(chosen, F.col("_own_seen")).otherwise(F.col("_all_seen")).alias("_seen"))
     return n.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("weight"), F.asc("_seen")))).where("_place = 1").select(*by, value, "weight")
 
 

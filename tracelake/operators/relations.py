@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 
 def newest_copies(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order``; rows without a key are all kept."""
@@ -102,13 +105,31 @@ def split_spillover(gains: DataFrame, by: Sequence[str], part: str, amount: str,
 
 def roots(spark_rows: DataFrame, node: str, parent: str, most: int = 100) -> DataFrame:
     """(node, root, depth) of a forest by a recursive query; ``most`` levels."""
-    spark = spark_rows.sparkSession
-    spark_rows.createOrReplaceTempView("_forest")
-    return spark.sql(f"""
+    # the view of ``forest`` has a name of its own and goes after the query is analysed
+    return spark_rows.sparkSession.sql(f"""
         WITH RECURSIVE up(node, root, depth) MAX RECURSION LEVEL {most} AS (
-          SELECT {node}, {node}, 0 FROM _forest WHERE {parent} IS NULL
-          UNION ALL SELECT f.{node}, up.root, up.depth + 1 FROM _forest f JOIN up ON f.{parent} = up.node)
-        SELECT node, root, depth FROM up""")
+          SELECT {node}, {node}, 0 FROM {{forest}} WHERE {parent} IS NULL
+          UNION ALL SELECT f.{node}, up.root, up.depth + 1 FROM {{forest}} f JOIN up ON f.{parent} = up.node)
+        SELECT node, root, depth FROM up""", forest=spark_rows)
+
+
+def reachable(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """(source, target) of every pair with a way from one to the other, in graphs that may have cycles.
+
+    Ways double in length each round: pairs found in the last round are joined with all
+    known ones on both sides, and only pairs not known yet go on, so a cycle ends and a
+    way of n edges takes log2(n) rounds. Rounds are written, not kept in a growing plan.
+    Edges with a null end lead nowhere.
+    """
+    pair = [source, target]
+    known = written(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(*pair).distinct())
+    fresh, parts = known, [known]
+    while fresh.take(1):
+        every = reduce(DataFrame.unionByName, parts)
+        then = lambda a, b: a.select(source, F.col(target).alias("_by")).join(b.select(F.col(source).alias("_by"), target), "_by").select(*pair)
+        fresh = written(then(fresh, every).unionByName(then(every, fresh)).distinct().join(every, pair, "left_anti"))
+        parts.append(fresh)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def by_id_or_name(rows: DataFrame, dimension: DataFrame, id_: str, name: Column, dim_id: str, dim_name: Column, value: str) -> DataFrame:

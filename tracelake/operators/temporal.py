@@ -12,9 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
@@ -247,3 +251,33 @@ def resampled(samples: DataFrame, by: Sequence[str], t: str, value: Sequence[str
     ends = samples.groupBy(*by).agg(F.date_trunc("hour", F.min(t)).alias("_a"), F.max(t).alias("_z"))
     grid = ends.select(*by, F.explode(F.sequence("_a", "_z", F.expr(f"interval {step}"))).alias(t))
     return asof(grid, samples, by, t, value, order)
+
+
+def cooled(rows: DataFrame, by: Sequence[str], t: str, gap: float | Column, order: Sequence[str], bucket: Bucket = None) -> DataFrame:
+    """Rows that a throttle lets through: the first of each key, then always the first one at least ``gap`` after the last taken.
+
+    Which rows are taken depends on the one taken before, so no window frame tells it.
+    Every row has one successor, the first row ``gap`` after it (an as-of lookup with time
+    reversed); the taken rows are the way from a key's first row along successors. Jumps
+    double each round, so a key with n taken rows needs log2(n) rounds of joins by row,
+    dealt evenly whatever the key. ``order`` makes rows of a key unique, with ``t``.
+    """
+    place = F.struct(F.col(t).alias("t"), *order)
+    marked = rows.withColumn("_at", place)
+    later = marked.select(*by, (-F.col(t).cast("double")).alias("_back"), F.col("_at").alias("_next"), F.struct(*[(-F.col(c)).alias(c) for c in order]).alias("_turn"))
+    asked = marked.select(*by, "_at", (-(F.col(t).cast("double") + gap)).alias("_back"))
+    jumps = asof(asked, later, by, "_back", ["_next"], ["_turn"], bucket=bucket).select(*by, "_at", "_next")
+    jumps = written(jumps.where("_next is not null"))
+    taken = written(marked.groupBy(*by).agg(F.min("_at").alias("_at")))
+    parts, hop = [taken], lambda j, name: j.select(*by, F.col("_at").alias("_next"), F.col("_next").alias(name))
+    same = lambda a, b: reduce(lambda x, c: x & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")), by, F.lit(True))
+    while True:
+        every = reduce(DataFrame.unionByName, parts)
+        found = every.alias("k").join(jumps.alias("j"), same("k", "j") & (F.col("k._at") == F.col("j._at"))).select(*[F.col(f"k.{c}") for c in by], F.col("j._next").alias("_at"))
+        found = written(found)
+        if not found.take(1):
+            break
+        parts.append(found)
+        jumps = written(jumps.alias("a").join(hop(jumps, "_far").alias("b"), same("a", "b") & (F.col("a._next") == F.col("b._next"))).select(*[F.col(f"a.{c}") for c in by], F.col("a._at"), F.col("b._far").alias("_next")))
+    every = reduce(DataFrame.unionByName, parts)
+    return marked.alias("r").join(every.alias("k"), same("r", "k") & (F.col("r._at") == F.col("k._at")), "left_semi").drop("_at")

@@ -130,3 +130,15 @@ def export_stats(read):
 @QUERIES("SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS streams, min(ts) AS started, max(ts) AS ended FROM events GROUP BY user_id")
 def session_stats(read):
     return read("events").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("event_type").alias("streams"), F.min("ts").alias("started"), F.max("ts").alias("ended"))
+
+
+@QUERIES("""
+WITH RECURSIVE e AS (SELECT p_partkey AS node, 1 + (p_partkey * 7 + p_size * 31) % (SELECT max(p_partkey) FROM part) AS target FROM part),
+r AS (SELECT node, target FROM e UNION SELECT r.node, e.target FROM r JOIN e ON r.target = e.node)
+SELECT node, target FROM r""")
+def reachable(read):
+    """All parts behind a part, each pointing at one other: ways that end in cycles."""
+    part = read("part")
+    n = part.agg(F.max("p_partkey")).first()[0]
+    edges = part.select(F.col("p_partkey").alias("node"), (1 + (F.col("p_partkey") * 7 + F.col("p_size") * 31) % n).alias("target"))
+    return relations.reachable(edges, "node", "target")

@@ -263,3 +263,14 @@ SELECT arg_min(event_id, row(abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-15 0
 def nearest_event_row(read):
     away = F.abs(temporal.clock(F.col("ts")) - temporal.clock(F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")))
     return read("events").groupBy("user_id").agg(F.min_by("event_id", F.struct(away, F.col("event_id"))).alias("event_id"))
+
+
+@QUERIES("""
+WITH RECURSIVE e AS (SELECT user_id, event_id, CAST(epoch_us(ts) AS BIGINT) AS t FROM events),
+c AS (SELECT user_id, min(row(t, event_id)) AS k FROM e GROUP BY user_id
+  UNION ALL SELECT c.user_id, min(row(e.t, e.event_id)) FROM c JOIN e ON e.user_id = c.user_id AND e.t >= struct_extract_at(c.k, 1) + 21600000000 GROUP BY c.user_id)
+SELECT user_id, struct_extract_at(k, 2) AS event_id FROM c""")
+def cooldown(read):
+    """Events of a user that a throttle of six hours lets through."""
+    rows = read("events").select("user_id", "event_id", temporal.clock(F.col("ts")).alias("t"))
+    return temporal.cooled(rows, ["user_id"], "t", 21_600_000_000.0, ["event_id"]).select("user_id", "event_id")
