@@ -50,6 +50,23 @@ def stream_change_only(read):
     return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{path}/out")
 
 
+@QUERIES("""
+WITH g AS (SELECT *, lag(event_type) OVER w AS b, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, user_id, event_type FROM g WHERE n = 1 OR b IS DISTINCT FROM event_type""")
+def stream_shuffled_changes(read):
+    """Events that come in four micro-batches whatever their times, and a last one that lets the watermark pass them all."""
+    events = read("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("t"), "event_type")
+    spark, path = events.sparkSession, scratch(events.sparkSession)
+    for part in range(4):
+        events.where(F.col("event_id") % 4 == (part * 3 + 1) % 4).coalesce(1).write.mode("append").parquet(f"{path}/in/part={part}")
+    end = events.agg(F.max("t") + F.expr("interval 200 days")).first()[0]
+    spark.createDataFrame([(None, None, end, None)], events.schema).coalesce(1).write.parquet(f"{path}/in/part=4")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    out = streams.ordered_changes(stream, "user_id", "t", ["event_id"], "event_type", "100 days")
+    streams.drained(out.where("user_id is not null").select("event_id", "user_id", "event_type"), f"{path}/out", f"{path}/checkpoint")
+    return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{path}/out")
+
+
 @QUERIES("""SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def tumbling_counts(read):
     return streams.tumbling(read("events").withColumn("t", F.col("ts").cast("timestamp")), "t", "6 hours", "1 hour", ["event_type"]).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -39,6 +40,56 @@ def changes(stream: DataFrame, by: str, order: Sequence[str], value: str) -> Dat
     return stream.groupBy(by).applyInPandasWithState(run, schema, f"known boolean, last {kinds[value]}", "append", GroupStateTimeout.NoTimeout)
 
 
+def ordered_changes(stream: DataFrame, by: str, t: str, order: Sequence[str], value: str, late: str, keep: str | None = None) -> DataFrame:
+    """The same for rows that come in any order: up to ``late`` behind the latest time seen.
+
+    Rows wait in the state of their key until the watermark has passed their time ``t``, and
+    are then compared in the order of (``t``, ``order``); rows that come behind the watermark
+    are left out. With ``keep`` a row so long after the one before of its key counts as a
+    change, so the state of a key goes once the watermark is so far beyond its last row.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    patience = None if keep is None else int(pd.Timedelta(keep).total_seconds() * 1000)
+    own_order = [t, *order]
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        known, last, raw, seen = state.get if state.exists else (False, None, None, 0)
+        before = pickle.loads(last) if last else None
+        passed = state.getCurrentWatermarkMs()
+        rows = [pickle.loads(raw)] if raw else []
+        if not state.hasTimedOut:
+            rows += [f[f["_ms"] >= passed] for f in frames]
+        rows = [f for f in rows if len(f)]
+        waiting = pd.concat(rows, ignore_index=True).sort_values(own_order, kind="stable") if rows else None
+        ready = None
+        if waiting is not None:
+            over = waiting["_ms"] < passed
+            ready, waiting = waiting[over], waiting[~over]
+        if ready is not None and len(ready):
+            now = [None if pd.isna(x) else getattr(x, "item", lambda x=x: x)() for x in ready[value]]
+            gap = ready["_ms"].diff()
+            gap.iloc[0] = ready["_ms"].iloc[0] - seen
+            differs = [a != b or (patience is not None and g >= patience) for a, b, g in zip(now, [before, *now[:-1]], gap, strict=True)]
+            differs[0] = differs[0] or not known
+            known, before, seen = True, now[-1], int(ready["_ms"].max())
+            yield ready.drop(columns="_ms")[differs]
+        if waiting is not None and len(waiting):
+            state.update((known, pickle.dumps(before), pickle.dumps(waiting), seen))
+            state.setTimeoutTimestamp(max(int(waiting["_ms"].min()), passed) + 1)
+        elif not known or (patience is not None and passed >= seen + patience):
+            if state.exists:
+                state.remove()
+        else:
+            state.update((known, pickle.dumps(before), None, seen))
+            if patience is not None:
+                state.setTimeoutTimestamp(max(seen + patience, passed + 1))
+
+    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
+    # times reach Python in the session's zone; the watermark is counted in UTC
+    timed = stream.withWatermark(t, late).withColumn("_ms", F.unix_millis(t)).groupBy(by)
+    return timed.applyInPandasWithState(run, schema, "known boolean, last binary, held binary, seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def tumbling(stream: DataFrame, t: str, width: str, late: str, by: Sequence[str] = ()) -> DataFrame:
     """Counts in windows of event time; rows later than ``late`` are left out."""
     return stream.withWatermark(t, late).groupBy(F.window(t, width).alias("w"), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
