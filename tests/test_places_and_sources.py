@@ -187,3 +187,15 @@ def test_text_rules(spark):
     assert [one(text.is_level_line(F.lit(x))) for x in ("Level 28", "Stufe ?? (Boss)", "等级 10（精英）", "SI:7 Operative")] == [True, True, True, False]
     assert one(text.cleaned(F.lit(" \r\n a \n"))) == "a" and one(text.cleaned(F.lit("\n"))) is None
     assert one(text.clock_text(F.lit(61.5))) == "01:01.500"
+
+
+def test_streams_of_any_depth_from_one_pass(spark):
+    import json
+
+    from tracelake.sources import submissions
+
+    deep = {"a": {"b": {"c": {"d": {"e": {"f": [{"t": 1, "tp": 2, "v": {"x": [1, None]}}]}}}}}, "One": [{"t": 1}, {"t": 2, "v": 5}], "None": {}, "odd": 3}
+    rows = spark.createDataFrame([("s", 0, json.dumps({"functions": deep}), None), ("t", 0, json.dumps({"functions": []}), None), ("u", None, None, "broken")], "submission string, idx int, session string, error string")
+    out = submissions.samples(rows)
+    assert sorted((r.fn, r.params, r.pos, r.v) for r in out.collect()) == [("One", [], 0, None), ("One", [], 1, "5"), ("a", ["b", "c", "d", "e", "f"], 0, '{"x":[1,null]}')]
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1

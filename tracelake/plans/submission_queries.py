@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources import submissions
 from ..sources.codec import to_export
+from ..sources.scratch import written
 from .query import Family
 from .trace_sessions import SQL, stored
 
@@ -70,8 +71,9 @@ def submission_samples(read):
 SELECT sid AS submission, CASE WHEN u % 7 NOT IN (3, 4, 5) THEN substr(sha256('1.5|' || u), 1, 16) END AS session_key, CASE u % 7 WHEN 3 THEN 'an export is cut off' WHEN 4 THEN 'no export in the text' WHEN 5 THEN 'no JSON' END AS error FROM u""")
 def submission_sessions(read):
     """Sessions by key, and why other submissions have none."""
-    fields = submissions.fields(_assembled(read))
-    decoded = submissions.decoded(fields, _MARKER)
+    # both are read by several branches
+    fields = written(submissions.fields(_assembled(read)))
+    decoded = written(submissions.decoded(fields, _MARKER))
     none = F.lit(None).cast("string")
     out = submissions.sessions(decoded).select("submission", "session_key", none.alias("error"))
     return out.unionByName(decoded.where("error is not null").select("submission", none.alias("session_key"), "error")).unionByName(fields.where("error is not null").select("submission", none.alias("session_key"), "error"))

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.text import sampled, session_key
 from .codec import exports
 
-#: Levels of parameters below a function's name.
-DEPTH = 4
-
 
 def listed(spark: SparkSession, path: str, percent: float | None = None) -> DataFrame:
     """(submission, raw) of the JSON files under a folder; ``percent``: of a key-stable sample. An empty folder raises."""
@@ -64,25 +61,33 @@ def events(decoded_rows: DataFrame) -> DataFrame:
     return decoded_rows.where("session is not null").select("submission", "idx", F.posexplode(parsed).alias("pos", "_e")).select("submission", "idx", "pos", "_e.t", "_e.tp", "_e.e", F.col("_e.a").alias("args"))
 
 
-def samples(decoded_rows: DataFrame, depth: int = DEPTH) -> DataFrame:
+def _leaves(functions: object) -> Iterator[tuple[str, list[str], list]]:
+    """(function, parameters, samples) of every stream, whatever the number of its parameters."""
+    todo = [([name], rest) for name, rest in functions.items()] if isinstance(functions, dict) else []
+    while todo:
+        path, rest = todo.pop()
+        if isinstance(rest, list):
+            yield path[0], path[1:], rest
+        elif isinstance(rest, dict):
+            todo += [([*path, name], deeper) for name, deeper in rest.items()]
+
+
+def samples(decoded_rows: DataFrame) -> DataFrame:
     """submission, idx, fn, params, pos, t, tp, v (JSON; null is a stored nil) of every sample.
 
-    Parameters are unnested one level after another, ``depth`` at most; deeper ones raise.
+    Parameters nest to any depth: each session is walked once. Streams of a session are rows
+    before its samples are, so a long session is split there.
     """
-    text_map = "map<string, string>"
-    top = F.from_json(F.get_json_object("session", "$.functions"), text_map)
-    level = decoded_rows.where("session is not null").select("submission", "idx", F.explode(top).alias("fn", "_rest")).withColumn("params", F.expr("filter(array(''), x -> false)"))
-    leaves = None
-    for k in range(depth + 1):
-        leaf = level.where(F.col("_rest").startswith("["))
-        leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        inner = level.where(~F.col("_rest").startswith("["))
-        if k == depth:
-            leaves = leaves.unionByName(inner.withColumn("_rest", F.raise_error(F.lit("parameters are nested too deep")).cast("string")))
-            break
-        level = inner.select("submission", "idx", "fn", "params", F.explode(F.from_json("_rest", text_map)).alias("_param", "_deeper")).select("submission", "idx", "fn", F.concat("params", F.array("_param")).alias("params"), F.col("_deeper").alias("_rest"))
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(r.submission, r.idx, fn, params, json.dumps(found)) for r in frame.itertuples() for fn, params, found in _leaves(json.loads(r.functions))]
+            yield pd.DataFrame(rows, columns=["submission", "idx", "fn", "params", "_rest"])
+
+    own = decoded_rows.where("session is not null").select("submission", "idx", F.get_json_object("session", "$.functions").alias("functions")).where("functions is not null")
+    streams = own.mapInPandas(walk, "submission string, idx int, fn string, params array<string>, _rest string")
     parsed = F.from_json("_rest", "array<struct<t: double, tp: double, v: string>>")
-    return leaves.select("submission", "idx", "fn", "params", F.posexplode(parsed).alias("pos", "_s")).select("submission", "idx", "fn", "params", "pos", "_s.t", "_s.tp", "_s.v")
+    return streams.select("submission", "idx", "fn", "params", F.posexplode(parsed).alias("pos", "_s")).select("submission", "idx", "fn", "params", "pos", "_s.t", "_s.tp", "_s.v")
 
 
 def deltas(decoded_rows: DataFrame) -> DataFrame:
