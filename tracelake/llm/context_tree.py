@@ -181,7 +181,7 @@ def _dealt(docs: DataFrame) -> DataFrame:
         if held.parts:
             yield from asked()
 
-    return written(docs.mapInArrow(deal, f"{schema_of(docs)}, {_ASKED}"), "slices")
+    return written(docs.mapInArrow(deal, f"{schema_of(docs)}, {_ASKED}"), "slices", "zstd")
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:

@@ -103,23 +103,23 @@ def exclusive_tokens(rows: DataFrame, by: Sequence[str], token: str, priority: S
 def undecided_switch(rows: DataFrame, by: Sequence[str], side: str, session: str, session_time: str, least: int = 2) -> DataFrame:
     """The boolean ``side`` an entity has now.
 
-    A session that saw both sides tells nothing. All others of one side: at least
-    ``least`` of them. Both sides: every session needs a time, there must be exactly one
+    An entity of which any session saw both sides has none. All sessions of one side: at
+    least ``least`` of them. Both sides: every session needs a time, there must be exactly one
     switch in the order of time, not between equal times, and the newer side needs
     ``least`` sessions.
     """
-    each = rows.groupBy(*by, session).agg(F.min(side).alias("side"), F.max(side).alias("_other"), F.max(session_time).alias("at")).where("side = _other")
+    each = rows.groupBy(*by, session).agg(F.min(side).alias("side"), F.max(side).alias("_other"), F.max(session_time).alias("at"))
     w = Window.partitionBy(*by).orderBy(F.asc_nulls_first("at"), F.col(session))
     step = each.withColumn("_before", F.lag("side").over(w)).withColumn("_before_at", F.lag("at").over(w))
     switched = F.col("_before").isNotNull() & (F.col("_before") != F.col("side"))
     n = step.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("side").alias("n_true"), F.count_if(switched).alias("switches"), F.count_if(switched & (F.col("_before_at") == F.col("at"))).alias("ties"),
-        F.count_if(F.col("at").isNull()).alias("untimed"), F.max_by("side", F.struct(F.col("at").isNotNull(), F.col("at"), F.col(session))).alias("newest"),
+        F.count_if(F.col("side") != F.col("_other")).alias("mixed"), F.count_if(F.col("at").isNull()).alias("untimed"), F.max_by("side", F.struct(F.col("at").isNotNull(), F.col("at"), F.col(session))).alias("newest"),
     )
     newer = F.when(F.col("newest"), F.col("n_true")).otherwise(F.col("n") - F.col("n_true"))
     unanimous = (F.col("n_true") == 0) | (F.col("n_true") == F.col("n"))
     ok = F.when(unanimous, F.col("n") >= least).otherwise((F.col("untimed") == 0) & (F.col("switches") == 1) & (F.col("ties") == 0) & (newer >= least))
-    return n.where(ok).select(*by, F.col("newest").alias("side"), F.col("n").alias("sessions"))
+    return n.where(ok & (F.col("mixed") == 0)).select(*by, F.col("newest").alias("side"), F.col("n").alias("sessions"))
 
 
 def consensus(rows: DataFrame, by: Sequence[str], part: str, amount: str, session: str, presence: float = 0.5, share: float = 0.8, least: int = 2) -> DataFrame:

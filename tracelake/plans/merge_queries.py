@@ -107,12 +107,12 @@ def exclusive_tokens(read):
 
 _SWITCH = """
 WITH e AS (SELECT o_custkey AS entity, o_orderkey % 200 AS session, {side} AS side, o_orderdate AS at_time FROM orders),
-s AS (SELECT entity, session, bool_and(side) AS side, bool_or(side) AS other, max(at_time) AS at_time FROM e GROUP BY ALL HAVING bool_and(side) = bool_or(side)),
+s AS (SELECT entity, session, bool_and(side) AS side, bool_or(side) AS other, max(at_time) AS at_time FROM e GROUP BY ALL),
 w AS (SELECT *, lag(side) OVER o AS before, lag(at_time) OVER o AS before_at FROM s WINDOW o AS (PARTITION BY entity ORDER BY at_time NULLS FIRST, session)),
 n AS (SELECT entity, count(*) AS n, count(*) FILTER (WHERE side) AS t, count(*) FILTER (WHERE before <> side) AS switches, count(*) FILTER (WHERE before <> side AND before_at = at_time) AS ties,
       count(*) FILTER (WHERE at_time IS NULL) AS untimed, arg_max(side, row(coalesce(at_time, TIMESTAMP '1900-01-01'), session)) AS newest FROM w GROUP BY entity)
 SELECT entity, newest AS side, n AS sessions FROM n
-WHERE CASE WHEN t = 0 OR t = n THEN n >= 2 ELSE untimed = 0 AND switches = 1 AND ties = 0 AND CASE WHEN newest THEN t ELSE n - t END >= 2 END"""
+WHERE entity NOT IN (SELECT entity FROM s WHERE side <> other) AND CASE WHEN t = 0 OR t = n THEN n >= 2 ELSE untimed = 0 AND switches = 1 AND ties = 0 AND CASE WHEN newest THEN t ELSE n - t END >= 2 END"""
 
 
 @QUERIES(_SWITCH.format(side="o_orderdate >= TIMESTAMP '1997-06-01' + INTERVAL 1 DAY * CAST(o_custkey % 900 AS INT) AND o_totalprice < 460000"))
