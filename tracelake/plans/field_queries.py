@@ -25,6 +25,12 @@ def _observed(read):
     return fields.observed(events, samples, _lookups(read), bucket=lambda t: F.floor(t / PART_SECONDS))
 
 
+def _sessions(read):
+    """Sessions with the time of their first row; of every other user none is known."""
+    first = moments(read).groupBy("sid", "u").agg(F.min("second").alias("_first"))
+    return first.select("sid", F.when(F.col("u") % 2 == 0, F.col("_first")).alias("session_time"))
+
+
 def _inner(name: str, *swaps: tuple[str, str]) -> str:
     """The SQL of one observer's query, as a subquery over the shared tables."""
     sql = one.QUERIES.sql[name]
@@ -163,6 +169,18 @@ def _facts() -> str:
 @QUERIES(f"""WITH {_ALL}, {_facts()} SELECT entity, id, '[' || id || '] = {{' || string_agg(name || '=' || text, ',' ORDER BY place) || '}}' AS line FROM fx WHERE text IS NOT NULL GROUP BY entity, id""")
 def record_lines(read):
     """From recorded sessions to a script line for every npc, object, item and quest."""
-    m = moments(read).groupBy("sid", "u").agg(F.min("second").alias("_first"))
-    sessions = m.select("sid", F.when(F.col("u") % 2 == 0, F.col("_first")).alias("session_time"))
-    return bundle.lines(bundle.facts(bundle.Evidence(fields.written(_observed(read)), sessions)))
+    return bundle.lines(bundle.facts(bundle.Evidence(fields.written(_observed(read)), _sessions(read))))
+
+
+_LOOKUPS = f"""WITH {_ALL}, z AS (SELECT sid, CASE WHEN u % 2 = 0 THEN min(second) END AS tm FROM m GROUP BY sid, u),
+o AS (SELECT ob.*, z.tm FROM ob LEFT JOIN z USING (sid) WHERE locale <> 'enUS'),
+su AS (SELECT entity, field, locale, id, value, max(CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS c, count(*) AS n, max(t) AS lt, count(DISTINCT sid) FILTER (WHERE tm IS NOT NULL) AS ts, max(tm) AS ns, min(row(sid, t, value)) AS seen FROM o GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY field, locale, id ORDER BY CASE WHEN field <> 'objectivesText' THEN ts >= 2 END DESC, CASE WHEN field <> 'objectivesText' AND ts >= 2 THEN ns END DESC NULLS LAST, c DESC, n DESC, lt DESC, seen) AS k FROM su),
+w AS (SELECT entity, locale, id, max(value) FILTER (WHERE field IN ('npcName', 'questName', 'objectName', 'itemName')) AS name, max(nullif(value, '')) FILTER (WHERE field = 'npcSubName') AS sub, max(value) FILTER (WHERE field = 'objectivesText') AS texts FROM k WHERE k = 1 GROUP BY ALL)
+SELECT entity, locale, id, '[' || id || '] = ' || CASE entity WHEN 'npc' THEN '{{"' || name || '", ' || coalesce('"' || sub || '"', 'nil') || '}}' WHEN 'quest' THEN '{{"' || name || '", ' || coalesce('{{"' || replace(texts, chr(10), '","') || '"}}', 'nil') || '}}' ELSE '"' || name || '"' END || ',' AS line FROM w WHERE name IS NOT NULL"""
+
+
+@QUERIES(_LOOKUPS)
+def localized_lines(read):
+    """A line for every translated name of every locale but the one that records hold."""
+    return bundle.lookups(fields.written(_observed(read)), _sessions(read))
