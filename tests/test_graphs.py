@@ -32,6 +32,18 @@ def test_two_forests_at_once(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("_")]
 
 
+def test_forest_higher_and_larger_than_a_recursive_query_takes(spark):
+    # one chain of 300, stars of 1,000,100 rows, a cycle, an orphan, a node named twice
+    stars = spark.range(1000, 1_001_100).selectExpr("id as n", "case when id >= 2000 then id % 1000 + 1000 end as p")
+    rest = [(0, None)] + [(k, k - 1) for k in range(1, 300)] + [(500, 501), (501, 500), (502, 500), (600, 999), (700, 0), (700, 2)]
+    out = relations.roots(stars.unionByName(spark.createDataFrame(rest, "n long, p long")), "n", "p").cache()
+    low = sorted(map(tuple, out.where("node < 1000").collect()))
+    assert low == sorted([(k, 0, k) for k in range(300)] + [(700, 0, 1), (700, 0, 3)])
+    assert out.where("node >= 1000 and depth = case when node < 2000 then 0 else 1 end and root = node % 1000 + 1000").count() == 1_000_100
+    assert out.count() == 300 + 2 + 1_000_100
+    out.unpersist()
+
+
 def test_reachable_makes_each_way_of_a_long_circle_about_once(spark):
     n, Frame = 256, type(spark.range(0))
     made, join = [], Frame.join

@@ -103,14 +103,24 @@ def split_spillover(gains: DataFrame, by: Sequence[str], part: str, amount: str,
     return gains.join(source, [*by, part], "left")
 
 
-def roots(spark_rows: DataFrame, node: str, parent: str, most: int = 100) -> DataFrame:
-    """(node, root, depth) of a forest by a recursive query; ``most`` levels."""
-    # the view of ``forest`` has a name of its own and goes after the query is analysed
-    return spark_rows.sparkSession.sql(f"""
-        WITH RECURSIVE up(node, root, depth) MAX RECURSION LEVEL {most} AS (
-          SELECT {node}, {node}, 0 FROM {{forest}} WHERE {parent} IS NULL
-          UNION ALL SELECT f.{node}, up.root, up.depth + 1 FROM {{forest}} f JOIN up ON f.{parent} = up.node)
-        SELECT node, root, depth FROM up""", forest=spark_rows)
+def roots(rows: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, root, depth) of a forest of any size and height; nodes without a root above them, as in a cycle, have no row.
+
+    Each node knows one ancestor and how far above it stands; the ancestor's own takes its
+    place, so the distance doubles each round and a chain of n nodes takes log2(n) rounds.
+    Rounds are written.
+    """
+    top, height = F.col(parent).isNull(), 1
+    known = written(rows.select(F.col(node).alias("node"), F.coalesce(parent, node).alias("root"), F.when(top, 0).otherwise(1).alias("depth"), top.alias("_top")))
+    parts, todo, most = [known.where("_top")], known.where("not _top"), known.count()
+    # a way longer than there are nodes goes in a circle
+    while height <= most and todo.take(1):
+        above = reduce(DataFrame.unionByName, parts, todo).select(F.col("node").alias("_by"), F.col("root").alias("_root"), F.col("depth").alias("_more"), F.col("_top").alias("_ends"))
+        met = todo.join(above, todo["root"] == above["_by"]).select("node", F.col("_root").alias("root"), (F.col("depth") + F.col("_more")).alias("depth"), F.col("_ends").alias("_top"))
+        met = written(met)
+        parts.append(met.where("_top"))
+        todo, height = met.where("not _top"), height * 2
+    return reduce(DataFrame.unionByName, parts).select("node", "root", "depth")
 
 
 def reachable(edges: DataFrame, source: str, target: str) -> DataFrame:
