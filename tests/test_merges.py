@@ -72,3 +72,22 @@ def test_relations(spark):
     assert {r.giver: r.owners for r in relations.inverted(quests, "quest", "givers", "giver").collect()} == {7: [100, 200], 8: [100]}
     copies = spark.createDataFrame([("k1", 1), ("k1", 2), (None, 3), (None, 4)], "key string, n int")
     assert sorted(r.n for r in relations.newest_copies(copies, "key", [F.desc("n")]).collect()) == [2, 3, 4]
+
+
+def test_sessions_dealt_once_and_counted(spark):
+    rows = spark.createDataFrame([(1, "a", 7), (1, "a", 7), (1, "a", 8), (1, "b", None), (2, "a", 7)], "entity int, value string, session int")
+    out = merges.sessions_of(rows.repartition(3, "session"), ["entity", "value"], "session")
+    assert sorted(map(tuple, out.collect())) == [(1, "a", 2), (1, "b", 0), (2, "a", 1)]
+    # no shuffle of single rows beside the one by session
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning(") == 2
+
+
+def test_merge_rows_are_dealt_by_their_number(spark, monkeypatch):
+    from conftest import DATA
+
+    from tracelake.plans import merge_queries
+
+    monkeypatch.setattr(merge_queries, "_TASK", 100)
+    rows = merge_queries._rows(lambda name: spark.read.parquet(f"{DATA}/{name}.parquet"))
+    n = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    assert rows.rdd.getNumPartitions() == n // 100 and rows.count() == n

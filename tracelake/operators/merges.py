@@ -42,9 +42,14 @@ def newest_merge(summary: DataFrame, by: Sequence[str], value: str, sessions: in
     return _facts(summary, by, value, [F.desc(supported.cast("int")), F.desc(F.when(supported, F.col("newest_session"))), *(F.desc(c) for c in _DEFAULT), F.asc("seen")])
 
 
+def sessions_of(rows: DataFrame, by: Sequence[str], session: str, name: str = "sessions") -> DataFrame:
+    """Distinct sessions of each group: duplicates go first, which rows dealt by session need no further shuffle for, and their counts are combined before the next."""
+    return rows.select(*by, session).distinct().groupBy(*by).agg(F.count(session).alias(name))
+
+
 def support(rows: DataFrame, by: Sequence[str], value: Sequence[str], session: str) -> DataFrame:
     """Distinct sessions of each value of an entity, and of its strongest value."""
-    n = rows.groupBy(*by, *value).agg(F.count_distinct(session).alias("sessions"))
+    n = sessions_of(rows, [*by, *value], session)
     return n.withColumn("strongest", F.max("sessions").over(Window.partitionBy(*by)))
 
 
@@ -75,7 +80,7 @@ def untied_mode(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def slot_mode(rows: DataFrame, by: Sequence[str], slot: str, id_: str, session: str) -> DataFrame:
     """In each slot the id of most sessions (lowest of equals); the ids of an entity in slot order, each once."""
-    n = rows.groupBy(*by, slot, id_).agg(F.count_distinct(session).alias("sessions"))
+    n = sessions_of(rows, [*by, slot, id_], session)
     best = n.groupBy(*by, slot).agg(F.max_by(F.col(id_), F.struct(F.col("sessions"), -F.col(id_))).alias("id"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(slot).alias("slot"), F.col("id")))), lambda s: s["id"])
     return best.groupBy(*by).agg(F.array_distinct(ordered).alias("ids"))
@@ -124,10 +129,10 @@ def undecided_switch(rows: DataFrame, by: Sequence[str], side: str, session: str
 
 def consensus(rows: DataFrame, by: Sequence[str], part: str, amount: str, session: str, presence: float = 0.5, share: float = 0.8, least: int = 2) -> DataFrame:
     """Parts (with their amount) present in ``presence`` of an entity's sessions and ``least``, one amount in ``share`` of those."""
-    total = rows.groupBy(*by).agg(F.count_distinct(session).alias("_all"))
+    total = sessions_of(rows, by, session, "_all")
     # the presence of a part and of an amount, each a distinct count of sessions
-    parts = rows.groupBy(*by, part).agg(F.count_distinct(session).alias("_part"))
-    amounts = rows.groupBy(*by, part, amount).agg(F.count_distinct(session).alias("sessions"))
+    parts = sessions_of(rows, [*by, part], session, "_part")
+    amounts = sessions_of(rows, [*by, part, amount], session)
     joined = amounts.join(parts, [*by, part]).join(total, list(by))
     return joined.where((F.col("_part") >= least) & (F.col("_part") >= F.col("_all") * presence) & (F.col("sessions") >= F.col("_part") * share)).select(*by, part, amount, "sessions")
 
