@@ -199,3 +199,33 @@ def test_streams_of_any_depth_from_one_pass(spark):
     out = submissions.samples(rows)
     assert sorted((r.fn, r.params, r.pos, r.v) for r in out.collect()) == [("One", [], 0, None), ("One", [], 1, "5"), ("a", ["b", "c", "d", "e", "f"], 0, '{"x":[1,null]}')]
     assert out._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+
+
+def test_tasks_hand_on_text_in_pieces(spark, monkeypatch):
+    import json
+
+    import pyarrow as pa
+
+    from tracelake.sources import submissions
+
+    rows = iter([("s", "x" * 400, None)] * 10)
+    monkeypatch.setattr(submissions, "PIECE", 1000)
+    out = submissions.pieces(rows, pa.schema([("a", pa.string()), ("b", pa.string()), ("c", pa.int32())]))
+    assert next(out).num_rows == 3 and len(list(rows)) == 7
+    assert sum(x.num_rows for x in out) == 0
+    # a row is read when the one before it is made
+    seen = submissions.each(iter([pa.RecordBatch.from_pylist([{"a": 1, "b": "x"}, {"a": None, "b": "y"}])]))
+    assert list(seen) == [(1, "x"), (None, "y")]
+    session = json.dumps({"functions": {"f": {str(k): [{"t": k, "tp": k, "v": "x" * 50}] for k in range(200)}}})
+    got = submissions.samples(spark.createDataFrame([("s", 0, session, None)] * 5, "submission string, idx int, session string, error string"))
+    assert got.count() == 1000 and got.where("length(v) = 50").count() == 1000
+
+
+def test_print_alphabet_of_all_bytes():
+    import pytest
+
+    data = bytes(range(256)) * 3
+    assert codec.from_print(codec.to_print(data) + " \n") == data
+    for wrong in ("ab!c", "abé", "ab一", "ab?d", "a"):
+        with pytest.raises(ValueError):
+            codec.from_print(wrong)

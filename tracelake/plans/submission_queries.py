@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,25 +29,30 @@ def _assembled(read) -> DataFrame:
     e = events.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("pos", "t", "tp", "e", "args"))).alias("events"))
     s = samples.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("pos", F.array_join(F.concat(F.array("fn"), "params"), "/").alias("path"), "t", "tp", "v"))).alias("samples"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for sid, own, streams in zip(frame["sid"], frame["events"], frame["samples"], strict=True):
+    def values(column: pa.Array, k: int) -> Iterator[tuple]:
+        return zip(*(f.to_pylist() for f in column[k].values.flatten()), strict=True)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for k, sid in enumerate(batch.column("sid").to_pylist()):
                 functions: dict = {}
-                for x in streams:
-                    *path, last = x["path"].split("/")
+                for _, path, t, tp, v in values(batch.column("samples"), k):
+                    *names, last = path.split("/")
                     at = functions
-                    for p in path:
+                    for p in names:
                         at = at.setdefault(p, {})
-                    at.setdefault(last, []).append({"t": x["t"], "tp": x["tp"], "v": x["v"]})
-                session = {"startedAt": 1.5, "startedAtPrecise": float(int(sid[1:])), "serverTime": 7, "events": [{"t": x["t"], "tp": x["tp"], "e": x["e"], "a": json.loads(x["args"] or "{}")} for x in own], "functions": functions}
+                    at.setdefault(last, []).append({"t": t, "tp": tp, "v": v})
+                own = [{"t": t, "tp": tp, "e": e, "a": json.loads(args or "{}")} for _, t, tp, e, args in values(batch.column("events"), k)]
+                session = {"startedAt": 1.5, "startedAtPrecise": float(int(sid[1:])), "serverTime": 7, "events": own, "functions": functions}
                 text = "pasted " + to_export({"sessions": [session, {"events": 3}]}, _MARKER) + " twice?"
                 user = int(sid[1:]) % 7
                 text = text[: len(text) // 2] if user == 3 else "nothing here" if user == 4 else text
-                rows.append((sid, "{" if user == 5 else json.dumps({"id": sid, "contributor_id": "c", "received_at": "2024-01-01", "export_string": text})))
-            yield pd.DataFrame(rows, columns=["submission", "raw"])
+                yield sid, "{" if user == 5 else json.dumps({"id": sid, "contributor_id": "c", "received_at": "2024-01-01", "export_string": text})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return submissions.pieces(rows(batches), pa.schema([("submission", pa.string()), ("raw", pa.string())]))
 
-    return e.join(s, "sid").mapInPandas(run, "submission string, raw string")
+    return e.join(s, "sid").select("sid", "events", "samples").mapInArrow(run, "submission string, raw string")
 
 
 def _decoded(read) -> DataFrame:

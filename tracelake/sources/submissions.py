@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,30 @@ from ..functions.text import sampled, session_key
 from .codec import exports
 
 
+#: Characters of text that a task makes before it hands them on.
+PIECE = 4 << 20
+
+
+def pieces(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about ``PIECE`` characters (one row may be larger): what a task holds doesn't grow with its rows."""
+    made, size = [], 0
+    for row in rows:
+        made.append(row)
+        size += sum(len(x) for x in row if isinstance(x, str))
+        if size >= PIECE:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
+            made, size = [], 0
+    if made:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
+
+
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The values of one row at a time; those of a batch are never all Python objects at once."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+
+
 def listed(spark: SparkSession, path: str, percent: float | None = None) -> DataFrame:
     """(submission, raw) of the JSON files under a folder; ``percent``: of a key-stable sample. An empty folder raises."""
     rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option("wholetext", "true").text(path)
@@ -33,16 +58,19 @@ def fields(rows: DataFrame) -> DataFrame:
 def decoded(submissions: DataFrame, marker: str) -> DataFrame:
     """(submission, idx, session JSON, error) of every valid session, and a row with an error for every export that was dropped."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for submission, text in zip(frame["submission"], frame["export"], strict=True):
-                found, dropped = exports(text or "", marker)
-                valid = [s for t in found if isinstance(t, dict) for s in t.get("sessions") or () if isinstance(s, dict) and isinstance(s.get("events"), list) and isinstance(s.get("functions"), (dict, list))]
-                rows += [(submission, i, json.dumps(s), None) for i, s in enumerate(valid)] + [(submission, None, None, why) for why in dropped]
-            yield pd.DataFrame(rows, columns=["submission", "idx", "session", "error"]).astype({"idx": "Int32"})
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for submission, text in each(batches):
+            found, dropped = exports(text or "", marker)
+            valid = (s for t in found if isinstance(t, dict) for s in t.get("sessions") or () if isinstance(s, dict) and isinstance(s.get("events"), list) and isinstance(s.get("functions"), (dict, list)))
+            for i, s in enumerate(valid):
+                yield submission, i, json.dumps(s), None
+            for why in dropped:
+                yield submission, None, None, why
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return pieces(rows(batches), pa.schema([("submission", pa.string()), ("idx", pa.int32()), ("session", pa.string()), ("error", pa.string())]))
 
-    return submissions.where("export is not null").select("submission", "export").mapInPandas(run, "submission string, idx int, session string, error string")
+    return submissions.where("export is not null").select("submission", "export").mapInArrow(run, "submission string, idx int, session string, error string")
 
 
 def _key(session: Column) -> list[Column]:
@@ -79,13 +107,17 @@ def samples(decoded_rows: DataFrame) -> DataFrame:
     before its samples are, so a long session is split there.
     """
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for frame in frames:
-            rows = [(r.submission, r.idx, fn, params, json.dumps(found)) for r in frame.itertuples() for fn, params, found in _leaves(json.loads(r.functions))]
-            yield pd.DataFrame(rows, columns=["submission", "idx", "fn", "params", "_rest"])
+            for submission, idx, session in zip(frame["submission"], frame["idx"], frame["session"], strict=True):
+                for fn, params, found in _leaves(json.loads(session).get("functions")):
+                    yield submission, idx, fn, params, json.dumps(found)
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shape = pa.schema([("submission", pa.string()), ("idx", pa.int32()), ("fn", pa.string()), ("params", pa.list_(pa.string())), ("_rest", pa.string())])
+        return (piece.to_pandas() for piece in pieces(rows(frames), shape))
 
-    own = decoded_rows.where("session is not null").select("submission", "idx", F.get_json_object("session", "$.functions").alias("functions")).where("functions is not null")
-    streams = own.mapInPandas(walk, "submission string, idx int, fn string, params array<string>, _rest string")
+    streams = decoded_rows.where("session is not null").select("submission", "idx", "session").mapInPandas(walk, "submission string, idx int, fn string, params array<string>, _rest string")
     parsed = F.from_json("_rest", "array<struct<t: double, tp: double, v: string>>")
     return streams.select("submission", "idx", "fn", "params", F.posexplode(parsed).alias("pos", "_s")).select("submission", "idx", "fn", "params", "pos", "_s.t", "_s.tp", "_s.v")
 
