@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +58,26 @@ def test_keys_are_forgotten(spark, tmp_path):
         got, held = drain(spark, feed(spark, tmp_path / name, batches), tmp_path / name, "10 seconds", keep)
         again = {("k1", 9000, 102, 1), ("k2", 9000, 103, 1)} & set(got)
         assert (len(again), held >= 50) == ((0, True) if keep is None else (2, False))
+
+
+def test_rows_wait_in_few_bytes():
+    class State:
+        exists, hasTimedOut, get = False, False, None
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def setTimeoutTimestamp(self, ms):
+            self.due = ms
+
+    def frame(ms):
+        return pd.DataFrame({"key": "a", "n": [1], "v": [7], "t": pd.to_datetime([ms], unit="ms"), "_ms": [ms]})
+
+    state, run = State(), changes._in_order(["key", "n", "v", "t"], ["t", "n"], "v", None)
+    for ms in (50, 10, 30):
+        assert list(run(("a",), iter([frame(ms)]), state)) == []
+    # a frame of these rows takes some 900 bytes
+    assert state.due == 11 and len(state.get[2]) < 600

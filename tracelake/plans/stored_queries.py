@@ -15,6 +15,9 @@ from .query import Family
 
 QUERIES = Family()
 
+#: Files of a micro-batch: so many tasks write and read it.
+FILES = 8
+
 
 def _stream(read, name: str) -> DataFrame:
     table = read(name)
@@ -58,10 +61,10 @@ def stream_shuffled_changes(read):
     events = read("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("t"), "event_type")
     spark, path = events.sparkSession, scratch(events.sparkSession)
     for part in range(4):
-        events.where(F.col("event_id") % 4 == (part * 3 + 1) % 4).coalesce(1).write.mode("append").parquet(f"{path}/in/part={part}")
+        events.where(F.col("event_id") % 4 == (part * 3 + 1) % 4).repartition(FILES, "event_id").write.mode("append").parquet(f"{path}/in/part={part}")
     end = events.agg(F.max("t") + F.expr("interval 200 days")).first()[0]
     spark.createDataFrame([(None, None, end, None)], events.schema).coalesce(1).write.parquet(f"{path}/in/part=4")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{path}/in/*")
     out = streams.ordered_changes(stream, "user_id", "t", ["event_id"], "event_type", "100 days")
     streams.drained(out.where("user_id is not null").select("event_id", "user_id", "event_type"), f"{path}/out", f"{path}/checkpoint")
     return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{path}/out")

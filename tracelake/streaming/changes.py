@@ -49,33 +49,38 @@ def ordered_changes(stream: DataFrame, by: str, t: str, order: Sequence[str], va
     change, so the state of a key goes once the watermark is so far beyond its last row.
     """
     kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
-    patience = None if keep is None else int(pd.Timedelta(keep).total_seconds() * 1000)
-    own_order = [t, *order]
+    run = _in_order(list(kinds), [t, *order], value, None if keep is None else int(pd.Timedelta(keep).total_seconds() * 1000))
+    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
+    # times reach Python in the session's zone; the watermark is counted in UTC
+    timed = stream.withWatermark(t, late).withColumn("_ms", F.unix_millis(t)).groupBy(by)
+    return timed.applyInPandasWithState(run, schema, "known boolean, last binary, held binary, seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _in_order(names: list[str], own_order: list[str], value: str, patience: int | None) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """What ``ordered_changes`` does with a key of a micro-batch. Rows wait as tuples: most keys have few, and a frame of few rows costs far more than they do."""
+    at, places = names.index(value), [names.index(c) for c in own_order]
+    missing = lambda x: x is None or x != x
+    rank = lambda r: [(missing(r[p]), 0 if missing(r[p]) else r[p]) for p in places]
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         known, last, raw, seen = state.get if state.exists else (False, None, None, 0)
         before = pickle.loads(last) if last else None
         passed = state.getCurrentWatermarkMs()
-        rows = [pickle.loads(raw)] if raw else []
+        waiting = pickle.loads(raw) if raw else []
         if not state.hasTimedOut:
-            rows += [f[f["_ms"] >= passed] for f in frames]
-        rows = [f for f in rows if len(f)]
-        waiting = pd.concat(rows, ignore_index=True).sort_values(own_order, kind="stable") if rows else None
-        ready = None
-        if waiting is not None:
-            over = waiting["_ms"] < passed
-            ready, waiting = waiting[over], waiting[~over]
-        if ready is not None and len(ready):
-            now = [None if pd.isna(x) else getattr(x, "item", lambda x=x: x)() for x in ready[value]]
-            gap = ready["_ms"].diff()
-            gap.iloc[0] = ready["_ms"].iloc[0] - seen
-            differs = [a != b or (patience is not None and g >= patience) for a, b, g in zip(now, [before, *now[:-1]], gap, strict=True)]
-            differs[0] = differs[0] or not known
-            known, before, seen = True, now[-1], int(ready["_ms"].max())
-            yield ready.drop(columns="_ms")[differs]
-        if waiting is not None and len(waiting):
+            waiting += [r for f in frames for r in zip(*(f[c].tolist() for c in (*names, "_ms")), strict=True) if r[-1] >= passed]
+        ready, waiting = sorted((r for r in waiting if r[-1] < passed), key=rank), [r for r in waiting if r[-1] >= passed]
+        if ready:
+            out = []
+            for r in ready:
+                now, ms = None if missing(r[at]) else r[at], int(r[-1])
+                if not known or now != before or (patience is not None and ms - seen >= patience):
+                    out.append(r[:-1])
+                known, before, seen = True, now, ms
+            yield pd.DataFrame(out, columns=names)
+        if waiting:
             state.update((known, pickle.dumps(before), pickle.dumps(waiting), seen))
-            state.setTimeoutTimestamp(max(int(waiting["_ms"].min()), passed) + 1)
+            state.setTimeoutTimestamp(max(min(int(r[-1]) for r in waiting), passed) + 1)
         elif not known or (patience is not None and passed >= seen + patience):
             if state.exists:
                 state.remove()
@@ -84,10 +89,7 @@ def ordered_changes(stream: DataFrame, by: str, t: str, order: Sequence[str], va
             if patience is not None:
                 state.setTimeoutTimestamp(max(seen + patience, passed + 1))
 
-    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
-    # times reach Python in the session's zone; the watermark is counted in UTC
-    timed = stream.withWatermark(t, late).withColumn("_ms", F.unix_millis(t)).groupBy(by)
-    return timed.applyInPandasWithState(run, schema, "known boolean, last binary, held binary, seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return run
 
 
 def tumbling(stream: DataFrame, t: str, width: str, late: str, by: Sequence[str] = ()) -> DataFrame:
