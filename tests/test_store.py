@@ -90,3 +90,24 @@ def test_slices_cover_everything_once(spark, tmp_path, many_files):
         assert all(a[1] < b[0] for a, b in zip(slices, slices[1:], strict=False))
         assert sorted((r.submission, r.value) for part in store.replay(rows) for r in part.collect()) == held(store)
     assert len(held(store)) == 200
+
+
+def test_what_a_run_observes_is_looked_up_once(spark, tmp_path):
+    store, read = Store(spark, f"file://{tmp_path}/store", "v1"), []
+    looked = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for frame in batches:
+            looked.add(len(frame))
+            yield frame
+
+    def observe(todo):
+        read.extend(todo.inputFiles())
+        looked.value = 0
+        return batch(spark, sorted(r.submission for r in todo.select("submission").collect()), "x")
+
+    listed = spark.createDataFrame([(n,) for n in "abc"], "submission string").mapInPandas(rows, "submission string")
+    assert update(store, listed, observe) == (3, 0)
+    # neither the observing nor the commit went back to the source, and nothing of it is left
+    assert looked.value == 0 and read and not any((tmp_path / "store/listed").iterdir())
+    assert held(store) == [(n, "x") for n in "abc"]

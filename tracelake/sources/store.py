@@ -77,6 +77,10 @@ class Commits:
                 raise
             return False
 
+    def remove(self, path: str) -> None:
+        """Delete a folder that no commit names."""
+        self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(path), True)
+
 
 class Store:
     def __init__(self, spark: SparkSession, path: str, version: str):
@@ -225,6 +229,11 @@ def update(store: Store, listed: DataFrame, observe: Callable[[DataFrame], tuple
     todo = new.unionByName(again).distinct()
     n_new = todo.count()
     if n_new:
-        store.append(*observe(listed.join(todo, "submission", "left_semi")))
+        # written once: sessions, observations, the samples of their ranges and the commit each read it
+        path = f"{store.path}/listed/{uuid.uuid4().hex}"
+        rows = listed.join(todo, "submission", "left_semi")
+        rows.write.parquet(path)
+        store.append(*observe(store.spark.read.schema(rows.schema).parquet(path)))
+        store.commits.remove(path)
     change.unpersist()
     return n_new, n_gone
