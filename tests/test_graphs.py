@@ -62,3 +62,32 @@ def test_reachable_makes_each_way_of_a_long_circle_about_once(spark):
         Frame.join = join
     # the last round meets pairs that are known: twice the result at the most
     assert sum(made) <= 2 * n * n
+
+
+def _walks(edges):
+    ways, out = dict(edges), set()
+    for start in ways:
+        n = start
+        while n in ways and (start, ways[n]) not in out:
+            n = ways[n]
+            out.add((start, n))
+    return out
+
+
+def test_reachable_where_each_node_has_one_edge_equals_a_walk(spark):
+    r = random.Random(8)
+    maps = [[(k, r.randrange(150)) for k in range(150)], [(k, r.randrange(60)) for k in range(40)], [(k, k + 1) for k in range(90)] + [(90, 60), (200, 90), (300, 300), (301, 300), (400, 401)]]
+    for edges in maps:
+        out = [(x.a, x.b) for x in relations.reachable(spark.createDataFrame([*edges, (None, 1), (999, None), edges[0]], "a int, b int"), "a", "b").collect()]
+        assert len(out) == len(set(out)) and set(out) == _walks(edges)
+
+
+def test_reachable_writes_no_pairs_where_each_node_has_one_edge(spark, monkeypatch):
+    # walks of 32^2 nodes and more; a circle of 1,500 with a tail of 40
+    n, rows, written = 1540, [], relations.written
+    monkeypatch.setattr(relations, "written", lambda df, *by: (out := written(df, *by), rows.append(out.count()))[0])
+    out = relations.reachable(spark.range(n).selectExpr("id as a", f"case when id = {n - 1} then 40 else id + 1 end as b"), "a", "b")
+    pairs = out.count()
+    assert pairs == out.distinct().count() == 1500 * 1500 + sum(1499 + k for k in range(1, 41))
+    # each round wrote its pairs before: as many as the result
+    assert sum(rows) < pairs / 8

@@ -115,18 +115,24 @@ def roots(rows: DataFrame, node: str, parent: str) -> DataFrame:
     parts, todo, most = [known.where("_top")], known.where("not _top"), known.count()
     # a way longer than there are nodes goes in a circle
     while height <= most and todo.take(1):
-        above = reduce(DataFrame.unionByName, parts, todo).select(F.col("node").alias("_by"), F.col("root").alias("_root"), F.col("depth").alias("_more"), F.col("_top").alias("_ends"))
-        met = todo.join(above, todo["root"] == above["_by"]).select("node", F.col("_root").alias("root"), (F.col("depth") + F.col("_more")).alias("depth"), F.col("_ends").alias("_top"))
+        above = reduce(DataFrame.unionByName, parts, todo).select(F.col("node").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_more"), F.col("_top").alias("_ends"))
+        met = todo.drop("_top").join(above, "root").select("node", F.col("_root").alias("root"), (F.col("depth") + F.col("_more")).alias("depth"), F.col("_ends").alias("_top"))
         met = written(met)
         parts.append(met.where("_top"))
         todo, height = met.where("not _top"), height * 2
     return reduce(DataFrame.unionByName, parts).select("node", "root", "depth")
 
 
+#: Fixed value: so many steps of a walk are kept as one list.
+SPAN = 32
+
+
 def reachable(edges: DataFrame, source: str, target: str) -> DataFrame:
     """(source, target) of every pair with a way from one to the other, in graphs that may have cycles.
 
-    Pairs carry the length of their shortest way. Each round doubles the length that is
+    Where each node has one edge at the most its ways are one walk, and every pair is made
+    once, by the join that returns it (``_walked``): pairs are neither shuffled nor written.
+    Elsewhere pairs carry the length of their shortest way. Each round doubles the length that is
     known: a pair of exactly that length goes on to all that is known behind its end, so a
     shortest way is made from one middle node at its half, not from each node on it, and a
     way of n edges takes log2(n) rounds. Rounds are written, not kept in a growing plan.
@@ -134,6 +140,8 @@ def reachable(edges: DataFrame, source: str, target: str) -> DataFrame:
     """
     pair, length = [source, target], 1
     fresh = written(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(*pair).distinct().withColumn("_steps", F.lit(1)))
+    if not fresh.groupBy(source).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").take(1):
+        return _walked(fresh.select(F.col(source).alias("node"), F.col(target).alias("at"))).toDF(*pair)
     parts = [fresh]
     # a shortest way of more than ``length`` edges begins with one of exactly ``length``
     while (far := fresh.where(F.col("_steps") == length)).take(1):
@@ -146,6 +154,71 @@ def reachable(edges: DataFrame, source: str, target: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select(*pair)
 
 
+def _onward(steps: DataFrame) -> DataFrame:
+    """``steps(node, at)`` taken twice; walks that end before have no row."""
+    return written(steps.withColumnRenamed("at", "_mid").join(steps.withColumnRenamed("node", "_mid"), "_mid").select("node", "at"))
+
+
+def _circles(edges: DataFrame) -> DataFrame:
+    """(node, circle, size) of the nodes of ``edges(node, at)`` that stand on a cycle, where each node has one edge at the most; ``circle`` is the cycle's least node."""
+    # what 2^k steps lead to becomes the nodes on cycles; where twice as many lead to as many nodes, all of them are
+    steps, ends, n = edges, edges.select("at").distinct(), -1
+    while (now := (ends := written(ends)).count()) != n:
+        steps, n = _onward(steps), now
+        ends = steps.select("at").distinct()
+    own = edges.join(ends.withColumnRenamed("at", "node"), "node", "left_semi")
+    low = written(own.select("node", "at", F.least("node", "at").alias("low")))
+    while True:
+        behind = low.select(F.col("node").alias("at"), F.col("at").alias("_to"), F.col("low").alias("_low"))
+        met = written(low.join(behind, "at").select("node", F.col("_to").alias("at"), F.least("low", "_low").alias("low"), (F.col("_low") < F.col("low")).alias("_fell")))
+        low = met.drop("_fell")
+        if not met.where("_fell").take(1):
+            break
+    size = low.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
+    return written(low.join(size, "low").select("node", F.col("low").alias("circle"), "size"))
+
+
+def _listed(steps: DataFrame, most: int) -> DataFrame:
+    """(node, near): the next ``SPAN`` nodes (at least ``most``, if that is less) of each node's walk by ``steps(node, at)``; fewer where it ends."""
+    near, length = steps.select("node", F.array("at").alias("near")), 1
+    while length < min(SPAN, most):
+        behind = near.select(F.col("node").alias("_last"), F.col("near").alias("_on"))
+        near = written(near.withColumn("_last", F.element_at("near", -1)).join(behind, "_last", "left").select("node", F.concat("near", F.coalesce("_on", F.slice("near", 1, 0))).alias("near")))
+        length *= 2
+    return near
+
+
+def _walked(edges: DataFrame) -> DataFrame:
+    """(node, at) of all nodes of each node's walk by ``edges(node, at)``, where each node has one edge at the most.
+
+    A walk ends where there is no edge, or once it has gone around its cycle: its number of
+    steps to the cycle and the cycle's size tell how many nodes it meets. Their places are
+    numbers of digits to the base ``SPAN``: lists hold the next ``SPAN`` nodes by jumps of
+    1, ``SPAN``, ``SPAN``^2 steps, each digit is a join with one of them, and the last
+    one makes the pairs.
+    """
+    circles = _circles(edges)
+    nodes = edges.select("node", F.col("at").alias("_parent")).unionByName(edges.select(F.col("at").alias("node"), F.lit(None).cast(edges.schema["at"].dataType).alias("_parent")))
+    nodes = nodes.groupBy("node").agg(F.max("_parent").alias("_parent")).join(circles.select("node", F.lit(True).alias("_on")), "node", "left")
+    ways = roots(nodes.select("node", F.when(F.col("_on").isNull(), F.col("_parent")).alias("_parent")), "node", "_parent")
+    size = circles.select(F.col("node").alias("root"), "size")
+    # the node where a walk enters a cycle counts once; one that begins there comes back to where it began
+    left = (F.col("depth") + F.when(F.col("size").isNull(), 0).otherwise(F.col("size") - (F.col("depth") > 0).cast("int"))).cast("long").alias("left")
+    rows = written(ways.join(size, "root", "left").select("node", F.col("node").alias("at"), left).where("left > 0"))
+    most, steps, jumps, length = rows.agg(F.max("left")).first()[0] or 0, edges, [], 1
+    while length < most:
+        jumps.append(_listed(steps, -(-most // length)))
+        steps, length = jumps[-1].where(F.size("near") == SPAN).select("node", F.element_at("near", SPAN).alias("at")), length * SPAN
+    jumps = jumps or [_listed(edges, 1)]
+    for k in range(len(jumps) - 1, 0, -1):
+        # a jump of no steps, or of 1 to SPAN - 1 times the length: the rest is one or more steps
+        far = F.least(F.lit(SPAN - 1), F.floor((F.col("left") - 1) / SPAN**k)).cast("int")
+        on = rows.join(jumps[k].withColumnRenamed("node", "at"), "at", "left")
+        ends = F.concat(F.array("at"), F.coalesce(F.slice("near", 1, far), F.slice(F.array("at"), 1, 0)))
+        rows = written(on.select("node", "left", F.posexplode(ends).alias("_k", "at")).select("node", "at", (F.col("left") - F.col("_k") * SPAN**k).alias("left")))
+    return rows.join(jumps[0].withColumnRenamed("node", "at"), "at").select("node", F.explode(F.slice("near", 1, F.least(F.col("left"), F.lit(SPAN)).cast("int"))).alias("at"))
+
+
 def by_id_or_name(rows: DataFrame, dimension: DataFrame, id_: str, name: Column, dim_id: str, dim_name: Column, value: str) -> DataFrame:
     """``rows`` with the dimension's ``value`` of their id, or else of their display name (of its lowest id)."""
     by_id = dimension.groupBy(F.col(dim_id).alias("_id")).agg(F.min(value).alias("_by_id"))
